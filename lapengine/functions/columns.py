@@ -100,25 +100,34 @@ def interval_text(us) -> Column:
                            F.pmod(col, F.lit(1000000)))
 
 
+def _round_at(c: Column, digits: int) -> Column:
+    scale = float(10 ** digits)
+    return F.round(c * F.lit(scale), 0) / F.lit(scale) + F.lit(0.0)
+
+
 def round_doubles(df: DataFrame, scale: int = 6) -> DataFrame:
     """Round every double column for cross-engine comparison.
 
     Magnitude-aware: 6 decimals below 1e3, 4 below 1e6, 2 above, so sums that
-    differ only in summation order compare equal.
+    differ only in summation order compare equal.  Rounds ``x * 10^d`` to an
+    integer (ties are exact binary values there, so every engine agrees) and
+    adds ``0.0`` to turn ``-0.0`` into ``0.0``.
     """
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
             c = F.col(f.name).cast("double")
             a = F.abs(c)
-            cols.append(F.when(a < 1e3, F.round(c, scale))
-                        .when(a < 1e6, F.round(c, 4))
-                        .otherwise(F.round(c, 2)).alias(f.name))
+            cols.append(F.when(a < 1e3, _round_at(c, scale))
+                        .when(a < 1e6, _round_at(c, 4))
+                        .otherwise(_round_at(c, 2)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return df.select(*cols)
 
 
 def round_sql(expr: str, scale: int = 6) -> str:
-    return (f"(CASE WHEN abs({expr}) < 1e3 THEN round({expr}, {scale}) "
-            f"WHEN abs({expr}) < 1e6 THEN round({expr}, 4) ELSE round({expr}, 2) END)")
+    def at(d):
+        return f"round(({expr}) * {float(10 ** d)!r}) / {float(10 ** d)!r} + 0.0e0"
+    return (f"(CASE WHEN abs({expr}) < 1e3 THEN {at(scale)} "
+            f"WHEN abs({expr}) < 1e6 THEN {at(4)} ELSE {at(2)} END)")

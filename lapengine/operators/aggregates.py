@@ -190,10 +190,14 @@ def regression_metrics(pred: DataFrame, y: str = "y_true", yhat: str = "y_pred",
                                   F.count(F.lit(1)).alias("n"))
     if by:
         j = pred.join(first.select(*by, "_ybar"), by)
-    else:
-        j = pred.crossJoin(F.broadcast(first.select("_ybar")))  # one row
+    else:  # one statistics row: broadcast equi join on a constant key
+        j = pred.withColumn("_one", F.lit(1)).join(
+            F.broadcast(first.select("_ybar", F.lit(1).alias("_one"))), "_one")
     sst = j.groupBy(*by).agg(F.sum((F.col(y) - F.col("_ybar")) * (F.col(y) - F.col("_ybar"))).alias("_sst"))
-    out = first.join(sst, by) if by else first.crossJoin(sst)
+    if by:
+        out = first.join(sst, by)
+    else:
+        out = first.withColumn("_one", F.lit(1)).join(F.broadcast(sst.withColumn("_one", F.lit(1))), "_one")
     r2 = F.when(F.col("_sst") == 0, F.lit(None).cast("double")).otherwise(F.lit(1.0) - F.col("_sse") / F.col("_sst"))
     return out.select(*by, "MAE", F.sqrt("_mse").alias("RMSE"), r2.alias("R2"), "n")
 

@@ -294,14 +294,26 @@ def _halo_frame(grid: DataFrame, keys: list[str], tick: str, chunk_ticks: int, h
     return g.join(n, keys + ["_pc"])
 
 
-def _shift(c: str, w: Window):
-    def f(d: int) -> Column:
-        if d > 0:
-            return F.lead(c, d).over(w)
-        if d < 0:
-            return F.lag(c, -d).over(w)
-        return F.col(c)
-    return f
+def _shift_name(c: str, d: int) -> str:
+    return c if d == 0 else f"{c}__{'p' if d > 0 else 'm'}{abs(d)}"
+
+
+def _with_shifts(df: DataFrame, cols: list[str], w: Window, reach: int) -> DataFrame:
+    """Add ``lead``/``lag`` of each column by ``1..reach`` rows as named columns.
+
+    One window operator computes each offset once; the smoother then is plain
+    arithmetic on columns (codegen) instead of repeated window calls.
+    """
+    sel = []
+    for c in cols:
+        for d in range(1, reach + 1):
+            sel.append(F.lead(c, d).over(w).alias(_shift_name(c, d)))
+            sel.append(F.lag(c, d).over(w).alias(_shift_name(c, -d)))
+    return df.select("*", *sel)
+
+
+def _shift(c: str):
+    return lambda d: F.col(_shift_name(c, d))
 
 
 def _gradient(c: str, w: Window, k: Column, n: Column, dt: float) -> Column:
@@ -334,9 +346,11 @@ def dynamics(grid: DataFrame, keys: list[str], tick: str = "tick", speed: str =
     g = g.select("*", (F.col(speed) * F.lit(KMH_TO_MPS)).alias("_sp"),
                  (F.col(x) * F.lit(position_scale)).alias("_x"),
                  (F.col(y) * F.lit(position_scale)).alias("_y"))
-    g = g.select("*", savgol_column(_shift("_sp", w), k, n, window, poly).alias("Speed_mps"),
-                 savgol_column(_shift("_x", w), k, n, window, poly).alias("_xs"),
-                 savgol_column(_shift("_y", w), k, n, window, poly).alias("_ys"))
+    base_cols = g.columns
+    g = _with_shifts(g, ["_sp", "_x", "_y"], w, window - 1)
+    g = g.select(*base_cols, savgol_column(_shift("_sp"), k, n, window, poly).alias("Speed_mps"),
+                 savgol_column(_shift("_x"), k, n, window, poly).alias("_xs"),
+                 savgol_column(_shift("_y"), k, n, window, poly).alias("_ys"))
     g = g.select("*", _gradient("_xs", w, k, n, dt).alias("VX"), _gradient("_ys", w, k, n, dt).alias("VY"))
     g = g.select("*", _gradient("VX", w, k, n, dt).alias("_ax"), _gradient("VY", w, k, n, dt).alias("_ay"))
     vn = F.greatest(F.sqrt(F.col("VX") * F.col("VX") + F.col("VY") * F.col("VY")), F.lit(MIN_SPEED_NORM))
@@ -383,7 +397,9 @@ def smooth(df: DataFrame, keys: list[str], tick: str, col: str, out: str,
     """C4 standalone: Savitzky-Golay (interp edges) of ``col`` over a dense grid."""
     g = _halo_frame(df, keys, tick, chunk_ticks)
     w = Window.partitionBy(*keys, "_pc").orderBy(tick)
-    g = g.select("*", savgol_column(_shift(col, w), F.col(tick), F.col("_n"), window, poly).alias(out))
+    base_cols = g.columns
+    g = _with_shifts(g, [col], w, window - 1)
+    g = g.select(*base_cols, savgol_column(_shift(col), F.col(tick), F.col("_n"), window, poly).alias(out))
     return g.where("_own").select(*df.columns, out)
 
 

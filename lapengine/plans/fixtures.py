@@ -203,3 +203,66 @@ SQL_MATRIX = "SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embedd
 def with_ctes(body: str, **ctes: str) -> str:
     parts = ",\n".join(f"{name} AS (\n{sql}\n)" for name, sql in ctes.items())
     return f"WITH {parts}\n{body}"
+
+
+def extraction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX1 extraction log: one row per event; status and flags from ``k``."""
+    t = telemetry(spark, sf_dir)
+    k = F.col("Throttle")
+    return t.select(F.col("Compound").alias("event"), F.col("event_id"),
+                    F.when(k >= 20, F.lit("success")).otherwise(F.lit("error")).alias("status"),
+                    (k % 2 == 0).alias("has_laps"), (k % 3 == 0).alias("has_tires"),
+                    (k % 5 == 0).alias("has_weather"), (k % 7 == 0).alias("has_telemetry"))
+
+
+SQL_EXTRACTION_LOG = f"""SELECT Compound AS event, event_id,
+       CASE WHEN Throttle >= 20 THEN 'success' ELSE 'error' END AS status,
+       (Throttle % 2 = 0) AS has_laps, (Throttle % 3 = 0) AS has_tires,
+       (Throttle % 5 = 0) AS has_weather, (Throttle % 7 = 0) AS has_telemetry
+FROM ({sql_telemetry()}) t"""
+
+
+def session_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX2 labels with a few malformed variants for the parser (A2, A5)."""
+    from lapengine.functions.columns import session_label
+    lp = laps(spark, sf_dir)
+    lab = session_label("Year", "Event", "SessionType")
+    m = F.col("LapNumber") % 50
+    bad = (F.when(m == 0, F.lit("bad"))
+            .when(m == 1, F.concat(F.lit("x"), lab))
+            .when(m == 2, F.concat_ws("_", F.col("Year").cast("string"), F.col("SessionType")))
+            .otherwise(lab))
+    return lp.select("LapNumber", bad.alias("label"))
+
+
+SQL_LABEL = "concat_ws('_', CAST(Year AS VARCHAR), replace(Event, ' ', '_'), replace(SessionType, ' ', '_'))"
+
+SQL_SESSION_LABELS = f"""SELECT LapNumber,
+       CASE WHEN LapNumber % 50 = 0 THEN 'bad'
+            WHEN LapNumber % 50 = 1 THEN 'x' || {SQL_LABEL}
+            WHEN LapNumber % 50 = 2 THEN concat_ws('_', CAST(Year AS VARCHAR), SessionType)
+            ELSE {SQL_LABEL} END AS label
+FROM ({SQL_LAPS}) l"""
+
+
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX2 calendar: distinct (Year, event, round); round 5 is a pre-season test."""
+    lp = laps(spark, sf_dir)
+    name = F.when(F.col("RoundNumber") == 5, F.concat(F.lit("Pre-Season "), F.col("Event"))).otherwise(F.col("Event"))
+    return lp.select("Year", name.alias("EventName"), "RoundNumber").distinct()
+
+
+SQL_CALENDAR = f"""SELECT DISTINCT Year,
+       CASE WHEN RoundNumber = 5 THEN 'Pre-Season ' || Event ELSE Event END AS EventName, RoundNumber
+FROM ({SQL_LAPS}) l"""
+
+
+def done_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FX2 sessions already processed: labels whose md5 starts with an even hex digit."""
+    from lapengine.functions.columns import session_label
+    lp = laps(spark, sf_dir).select(session_label("Year", "Event", "SessionType").alias("label")).distinct()
+    return lp.where(F.substring(F.md5("label"), 1, 1).isin(*"02468ace"))
+
+
+SQL_DONE_LABELS = f"""SELECT DISTINCT {SQL_LABEL} AS label FROM ({SQL_LAPS}) l
+WHERE substr(md5({SQL_LABEL}), 1, 1) IN ('0','2','4','6','8','a','c','e')"""

@@ -7,32 +7,15 @@ Double columns are rounded on both sides (magnitude-aware, see
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
-from lapengine.functions.columns import KMH_TO_MPS, round_doubles
-from lapengine.operators import aggregates as agg
+from lapengine.functions.columns import KMH_TO_MPS
 from lapengine.operators import series
 from lapengine.plans import fixtures as fx
 from lapengine.plans import sqltext as q
 from lapengine.plans import telemetry as tp
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None = None):
-    def deco(fn):
-        QUERIES[name] = lambda spark, sf_dir: round_doubles(fn(spark, sf_dir))
-        QUERIES[name].__doc__ = fn.__doc__
-        if sql is not None:
-            ORACLE[name] = sql
-        return fn
-    return deco
-
+from lapengine.plans.registry import ORACLE, QUERIES, register  # noqa: F401
 
 LAP = q.LAP
 G_COLS = [("Driver", False), ("LapNumber", False), ("tick", False), ("RelativeTime_s", True),
@@ -104,4 +87,3 @@ def e1_lap_features_short(spark, sf):
     return tp.lap_feature_table(spark, sf, short_laps=True)
 
 
-__all__ = ["QUERIES", "ORACLE", "agg"]

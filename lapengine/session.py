@@ -27,10 +27,30 @@ BASE_CONF = {
 }
 
 
+# Local single-JVM runs (tests, bench): shuffles are a few MB, so let AQE keep
+# enough partitions to use every core for the CPU-heavy window chains.
+LOCAL_CONF = {
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64KB",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1MB",
+}
+
+# Starting point for a large cluster (~100 TB input, ~1000 executors): about
+# 128-256 MB per shuffle partition before AQE coalescing, skew splitting on.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "lapengine", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
+    if master.startswith("local"):
+        conf.update(LOCAL_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "16g")
     if extra:
