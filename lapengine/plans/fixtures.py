@@ -33,10 +33,10 @@ def _ts_us() -> F.Column:
     return F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'2024-01-01 00:00:00', ts)")
 
 
-def telemetry(spark: SparkSession, sf_dir: str, *, null_value: bool = False,
-              short_laps: bool = False) -> DataFrame:
-    """FX1: raw lap telemetry from ``events``."""
-    ev = _read(spark, sf_dir, "events")
+def telemetry(spark: SparkSession, sf_dir: str | None, *, null_value: bool = False,
+              short_laps: bool = False, events: DataFrame | None = None) -> DataFrame:
+    """FX1: raw lap telemetry from ``events`` (or from a given events frame, e.g. a micro-batch)."""
+    ev = events if events is not None else _read(spark, sf_dir, "events")
     days = F.datediff(F.to_date("ts"), F.lit(date(2024, 1, 1)))
     lap = (days if short_laps else floor_div(days, FX1_LAP_DAYS)) + 1
     k = F.get_json_object("props", "$.k").cast("int").cast("double")
@@ -59,13 +59,13 @@ def telemetry(spark: SparkSession, sf_dir: str, *, null_value: bool = False,
     )
 
 
-def telemetry_laps(spark: SparkSession, sf_dir: str) -> DataFrame:
+def telemetry_laps(spark: SparkSession, sf_dir: str | None, tel: DataFrame | None = None) -> DataFrame:
     """FX1 lap metadata: one row per lap, lap time from the sample span.
 
     Laps of drivers whose id is a multiple of 5 are left out so the metadata
     join (D1) has unmatched laps.
     """
-    t = telemetry(spark, sf_dir)
+    t = tel if tel is not None else telemetry(spark, sf_dir)
     return (t.groupBy("Driver", "LapNumber")
              .agg(((F.max("SessionTime_us") - F.min("SessionTime_us")).cast("double") / F.lit(1e6))
                   .alias("LapTimeSeconds"),
@@ -96,9 +96,9 @@ def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def lap_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lap_features(spark: SparkSession, sf_dir: str | None, lineitem: DataFrame | None = None) -> DataFrame:
     """FX3: lap feature rows from ``lineitem`` (unique ``lap_id``)."""
-    li = _read(spark, sf_dir, "lineitem")
+    li = lineitem if lineitem is not None else _read(spark, sf_dir, "lineitem")
     lap_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return li.select(
         lap_id.alias("lap_id"),

@@ -87,3 +87,11 @@ def e1_lap_features_short(spark, sf):
     return tp.lap_feature_table(spark, sf, short_laps=True)
 
 
+
+
+@register("st1_stream_ingest", _e1_sql())
+def st1_stream_ingest(spark, sf):
+    """ST1: events ingested as a file stream (availableNow); lap features per micro-batch."""
+    from lapengine.streaming.ingest import ingest_available
+    schema = spark.read.parquet(f"{sf}/events.parquet").schema
+    return ingest_available(spark, f"{sf}/events.parquet*", sf, schema, tp.lap_features_of_events)

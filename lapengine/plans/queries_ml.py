@@ -381,3 +381,19 @@ def f22_permutation_importance(spark, sf):
     data = _model_data(spark, sf).withColumn("label", F.col(TARGET))
     model = ml.make_pipeline(NUM_MODEL, CAT_MODEL, ml.model_zoo(small=True)["RandomForest"]()).fit(data)
     return attr.permutation_importance(model, data, NUM_MODEL, "label", "lap_id")
+
+
+# ------------------------------------------------------------------ streaming
+
+@register("st2_stream_scoring")
+def st2_stream_scoring(spark, sf):
+    """ST2: lap rows arriving as a file stream, scored by the fitted Lasso pipeline."""
+    from lapengine.streaming.scoring import score_stream
+    data = _model_data(spark, sf).withColumn("label", F.col(TARGET))
+    model = ml.make_pipeline(NUM_MODEL, CAT_MODEL, ml.model_zoo(small=True)["Lasso"]()).fit(data)
+    schema = spark.read.parquet(f"{sf}/lineitem.parquet").schema
+
+    def prepare(stream_df):
+        return fx.lap_features(spark, None, lineitem=stream_df).select(
+            "lap_id", *[c for c in NUM_MODEL + CAT_MODEL if c != "Compound"], "Compound")
+    return score_stream(spark, f"{sf}/lineitem.parquet*", sf, schema, model, prepare, ["lap_id"])

@@ -46,3 +46,13 @@ def lap_feature_table(spark: SparkSession, sf_dir: str, *, short_laps: bool = Fa
     dyn = dynamics(spark, sf_dir, short_laps=short_laps, chunk_ticks=chunk_ticks)
     meta = fx.telemetry_laps(spark, sf_dir)
     return agg.lap_features_from_dynamics(dyn, meta, LAP_KEYS)
+
+
+def lap_features_of_events(events: DataFrame, chunk_ticks: int = series.DEFAULT_CHUNK_TICKS) -> DataFrame:
+    """The flagship plan on any events frame (a table or a streamed micro-batch)."""
+    spark = events.sparkSession
+    tel = fx.telemetry(spark, None, events=events)
+    g = series.resample_zoh(tel, LAP_KEYS, "SessionTime_us", SIGNALS, fx.FX1_STEP_US, tiebreak=["event_id"],
+                            chunk_ticks=chunk_ticks)
+    dyn = series.dynamics(g, LAP_KEYS, dt=fx.FX1_DT, chunk_ticks=chunk_ticks)
+    return agg.lap_features_from_dynamics(dyn, fx.telemetry_laps(spark, None, tel=tel), LAP_KEYS)
