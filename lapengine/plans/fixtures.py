@@ -99,7 +99,13 @@ def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lap_features(spark: SparkSession, sf_dir: str | None, lineitem: DataFrame | None = None) -> DataFrame:
     """FX3: lap feature rows from ``lineitem`` (unique ``lap_id``)."""
     li = lineitem if lineitem is not None else _read(spark, sf_dir, "lineitem")
-    lap_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    # the four keys are not unique in every table; the integer forms of the
+    # remaining columns make the id a full-row identity
+    lap_id = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                         F.round(F.col("l_extendedprice") * 100).cast("long"),
+                         F.round(F.col("l_quantity") * 100).cast("long"),
+                         F.round(F.col("l_discount") * 100).cast("long"), F.round(F.col("l_tax") * 100).cast("long"),
+                         F.datediff(F.to_date("l_shipdate"), F.lit(date(1970, 1, 1))))
     return li.select(
         lap_id.alias("lap_id"),
         F.lit("R").alias("SessionType"),
@@ -177,7 +183,10 @@ SQL_LAPS = """SELECT CAST(o_custkey AS VARCHAR) AS Driver,
        o_orderstatus AS SessionType
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey"""
 
-SQL_LAP_FEATURES = """SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS lap_id,
+SQL_LAP_FEATURES = """SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+         CAST(round(l_extendedprice * 100) AS BIGINT), CAST(round(l_quantity * 100) AS BIGINT),
+         CAST(round(l_discount * 100) AS BIGINT), CAST(round(l_tax * 100) AS BIGINT),
+         date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE))) AS lap_id,
        'R' AS SessionType,
        CAST(year(l_shipdate) AS INTEGER) AS Year,
        l_returnflag AS Event,
