@@ -55,30 +55,32 @@ def savgol_column(shift: Callable[[int], Column], k: Column, n: Column,
     ``shift(d)`` must return the series value ``d`` rows after the current row
     (``lead``/``lag`` over the lap window).  Laps shorter than the smallest
     usable window give null.
+
+    Written as ``sum_d c_d * x[k + d]`` over ``d = -(w-1) .. w-1`` where
+    ``c_d`` is read from a literal array indexed by the row's window offset
+    ``o``: compact generated code, and - since the extra coefficients are
+    exact zeros multiplying null-guarded values - the same sum, term for term,
+    as ``sum_j H[o][j] * x[s + j]``.
     """
+    wins = effective_windows(window, poly)
+    reach = max(w for _, w in wins) - 1
     expr = None
-    for min_n, w in reversed(effective_windows(window, poly)):
-        branch = _window_branch(shift, k, n, w, poly)
-        expr = F.when(n >= min_n, branch) if expr is None else F.when(n >= min_n, branch).otherwise(expr)
+    for d in range(-reach, reach + 1):
+        coef = None
+        for min_n, w in reversed(wins):
+            h = projection_matrix(w, poly)
+            half = w // 2
+            o = (F.when(k < half, k).when(k > n - 1 - half, k - (n - w)).otherwise(F.lit(half)))
+            # coefficient of x[k + d] for each offset o: H[o][o + d] (0 outside the window)
+            arr = F.array(*[F.lit(h[oo][oo + d] if 0 <= oo + d < w else 0.0) for oo in range(w)])
+            c = F.element_at(arr, (o + 1).cast("int"))
+            coef = F.when(n >= min_n, c) if coef is None else F.when(n >= min_n, c).otherwise(coef)
+        val = shift(d) if d == 0 else F.coalesce(shift(d), F.lit(0.0))
+        term = coef * val
+        expr = term if expr is None else expr + term
     return expr
 
 
-def _window_branch(shift, k, n, w, poly):
-    h = projection_matrix(w, poly)
-    half = w // 2
-    o = (F.when(k < half, k)
-         .when(k > n - 1 - half, k - (n - w))
-         .otherwise(F.lit(half)))
-    out = None
-    for row in range(w):
-        val = None
-        for j in range(w):
-            term = F.lit(h[row][j]) * shift(j - row)
-            val = term if val is None else val + term
-        out = F.when(o == row, val) if out is None else out.when(o == row, val)
-    return out
-
-
 # --- SQL text of the same arithmetic (used by the DuckDB oracles) ---------
 
 def sql_literal(v: float) -> str:

@@ -108,21 +108,66 @@ def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
 
 
+def _ranked(x: DataFrame, by: str, col: str) -> tuple[DataFrame, DataFrame]:
+    """Rank of every row inside its group over a range-partitioned frame.
+
+    ``x`` must be range-partitioned on ``(by, col)``.  Returns (ranked rows,
+    per-group counts).  The rank is the number of group rows in earlier
+    partitions (small table of per-partition counts) plus the row's position
+    in its own partition, so a group never has to sit in one task.
+    """
+    from pyspark.sql import Window
+    x = x.withColumn("_pid", F.spark_partition_id())
+    local = x.withColumn("_lr", F.row_number().over(Window.partitionBy("_pid", by).orderBy(col)) - 1)
+    cnt = x.groupBy("_pid", by).agg(F.count(F.lit(1)).alias("_c"))
+    off = cnt.select("_pid", by, F.coalesce(F.sum("_c").over(
+        Window.partitionBy(by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    ranked = local.join(off, ["_pid", by]).select(by, col, (F.col("_off") + F.col("_lr")).alias("_rank"))
+    return ranked, cnt.groupBy(by).agg(F.sum("_c").alias("_n"))
+
+
+def exact_quantiles(df: DataFrame, by: str, col: str, probs: list[float],
+                    ranged: DataFrame | None = None) -> DataFrame:
+    """Linear-interpolation quantiles per group, without gathering a group in one task.
+
+    The two order statistics around ``p * (n - 1)`` are picked from the
+    ranked rows by one equi join on ``(group, rank)``.  Output: ``by, q0, q1, ...``.
+    """
+    x = ranged if ranged is not None else (
+        df.select(by, col).where(F.col(col).isNotNull() & F.col(by).isNotNull()).repartitionByRange(by, col))
+    ranked, n = _ranked(x, by, col)
+    pos = n.select(by, F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_qi", "_p"), "_n") \
+           .select(by, "_qi", (F.col("_p") * (F.col("_n") - 1)).alias("_pos"))
+    pos = pos.select("*", F.floor("_pos").cast("long").alias("_lo"), F.ceil("_pos").cast("long").alias("_hi"))
+    wanted = pos.select(by, "_qi", "_pos", "_lo", "_hi", F.explode(F.array_distinct(F.array("_lo", "_hi"))).alias("_rank"))
+    j = wanted.join(ranked, [by, "_rank"])
+    picked = j.groupBy(by, "_qi", "_pos", "_lo", "_hi").agg(
+        F.max(F.when(F.col("_rank") == F.col("_lo"), F.col(col))).alias("_vlo"),
+        F.max(F.when(F.col("_rank") == F.col("_hi"), F.col(col))).alias("_vhi"))
+    val = F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
+        (F.col("_hi") - F.col("_pos")) * F.col("_vlo") + (F.col("_pos") - F.col("_lo")) * F.col("_vhi"))
+    return picked.groupBy(by).agg(*[F.max(F.when(F.col("_qi") == i, val)).alias(f"q{i}") for i in range(len(probs))])
+
+
 def box_stats(df: DataFrame, by: str, col: str, exact: bool = True, accuracy: int = 10000) -> DataFrame:
     """Box-plot numbers per group: quartiles, whiskers (1.5 IQR), outliers.
 
-    ``exact`` uses ``percentile`` (same as linear interpolation quantiles);
-    otherwise ``percentile_approx`` with bounded memory per group.
+    ``exact`` ranks rows with a distributed sort (see ``exact_quantiles``);
+    otherwise ``percentile_approx`` with bounded memory per group.  Both keep
+    every group spread over many tasks.  The quartile pass and the whisker
+    pass read the same range-partitioned exchange, so the input is computed
+    once.
     """
+    x = df.select(by, col).where(F.col(col).isNotNull() & F.col(by).isNotNull()).repartitionByRange(by, col)
     if exact:
-        q = F.percentile(F.col(col), [0.25, 0.5, 0.75])
+        qs = exact_quantiles(df, by, col, [0.25, 0.5, 0.75], ranged=x)
     else:
-        q = F.percentile_approx(F.col(col), [0.25, 0.5, 0.75], accuracy)
-    qs = df.where(F.col(col).isNotNull()).groupBy(by).agg(q.alias("_q"))
-    qs = qs.select(by, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("median"), F.col("_q")[2].alias("q3"))
+        qs = x.groupBy(by).agg(F.percentile_approx(F.col(col), [0.25, 0.5, 0.75], accuracy).alias("_q")) \
+              .select(by, *[F.col("_q")[i].alias(f"q{i}") for i in range(3)])
+    qs = qs.select(by, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     qs = qs.select("*", (F.col("q1") - F.lit(1.5) * iqr).alias("_lo"), (F.col("q3") + F.lit(1.5) * iqr).alias("_hi"))
-    j = df.where(F.col(col).isNotNull()).join(qs, by)
+    j = x.join(qs, by)
     inside = (F.col(col) >= F.col("_lo")) & (F.col(col) <= F.col("_hi"))
     return j.groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(col))).alias("whisker_low"),

@@ -9,6 +9,7 @@ the driver loops only over folds and models.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -115,7 +116,7 @@ def _checkpointed(df: DataFrame) -> DataFrame:
 
 def cross_validate(df: DataFrame, name: str, estimator_factory: Callable[[], object], num_cols: list[str],
                    cat_cols: list[str], key: str, target: str = TARGET, k: int = 5,
-                   refit: bool = True) -> CvResult:
+                   refit: bool = True, parallelism: int = 5) -> CvResult:
     """F16: K-fold: fit on k-1 folds (preprocessing included), predict the rest.
 
     The fold-tagged input is checkpointed to the cluster's checkpoint
@@ -124,13 +125,21 @@ def cross_validate(df: DataFrame, name: str, estimator_factory: Callable[[], obj
     """
     data = with_fold(df.withColumn("label", F.col(target).cast("double")), key, k)
     data = _checkpointed(data)
-    preds = None
-    for f in range(k):
+
+    def fold_predictions(f: int) -> DataFrame:
         pipe = make_pipeline(num_cols, cat_cols, estimator_factory())
         m = pipe.fit(data.where(F.col("fold") != f))
-        p = m.transform(data.where(F.col("fold") == f)).select(
+        return m.transform(data.where(F.col("fold") == f)).select(
             *df.columns, "fold", F.col("label").alias("y_true"), F.col("prediction").alias("y_pred"))
-        preds = p if preds is None else preds.unionByName(p)
+
+    # the k fits are independent Spark jobs: submit them from a few driver
+    # threads so their iterations interleave on the cluster (as CrossValidator's
+    # ``parallelism`` does)
+    with ThreadPoolExecutor(max_workers=max(1, min(k, parallelism))) as pool:
+        parts = list(pool.map(fold_predictions, range(k)))
+    preds = parts[0]
+    for p in parts[1:]:
+        preds = preds.unionByName(p)
     fm = regression_metrics(preds, by=["fold"])
     mean = fm.agg(F.avg("MAE").alias("MAE"), F.avg("RMSE").alias("RMSE"), F.avg("R2").alias("R2")) \
              .select(F.lit(name).alias("model"), "MAE", "RMSE", "R2")

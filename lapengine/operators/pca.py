@@ -15,7 +15,6 @@ from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lapengine.operators.matrix import standardize, standardize_stats
 
 SIGN_TIE = 1e-12
 
@@ -65,22 +64,29 @@ def fit_pca(df: DataFrame, cols: list[str], k: int = 3) -> PcaModel:
     relative to the total variance of all standardised columns; singular
     values follow ``sqrt(eigenvalue * (n - 1))``.
     """
-    stats = standardize_stats(df, cols)
-    srow = stats.first()
+    from lapengine.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    # the fit makes several passes (statistics, column summary, Gramian):
+    # materialise the matrix once in the shared checkpoint directory
+    x = df.select(*cols).checkpoint(eager=True)
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for c in cols:
+        aggs += [F.avg(c).alias(f"_mean_{c}"), F.stddev_pop(c).alias(f"_sd_{c}")]
+    srow = x.agg(*aggs).first()
+    n = int(srow["_n"])
     mean = [float(srow[f"_mean_{c}"]) for c in cols]
-    scale = [float(srow[f"_scale_{c}"]) for c in cols]
-    z = standardize(df, cols, stats=stats, suffix="__z")
+    sds = [float(srow[f"_sd_{c}"] or 0.0) for c in cols]
+    scale = [sd if sd != 0.0 else 1.0 for sd in sds]
     zc = [f"{c}__z" for c in cols]
+    z = x.select(*[((F.col(c) - F.lit(m)) / F.lit(s)).alias(zn) for c, m, s, zn in zip(cols, mean, scale, zc)])
     vec = VectorAssembler(inputCols=zc, outputCol="_v").transform(z.select(*zc))
     model = PCA(k=k, inputCol="_v", outputCol="_pc").fit(vec)
-    pc = model.pc.toArray().T          # k x d
+    pc = fix_signs(model.pc.toArray().T)          # k x d
     ratio = [float(v) for v in model.explainedVariance.toArray()]
-    pc = fix_signs(pc)
-    n = df.count()
     # total sample variance of the standardised columns: n/(n-1) for every
-    # non-constant column, 0 for constant ones (scale forced to 1)
-    var = z.agg(*[F.var_samp(c) for c in zc]).first()
-    total = float(sum(v for v in var if v is not None))
+    # non-constant column, 0 for constant ones (their scale is forced to 1)
+    nonconst = sum(1 for sd in sds if sd != 0.0)
+    total = nonconst * n / (n - 1) if n > 1 else 0.0
     sing = [float(np.sqrt(r * total * (n - 1))) for r in ratio]
     return PcaModel(list(cols), mean, scale, pc.tolist(), ratio, sing, n)
 

@@ -200,6 +200,8 @@ def interpolate_grid(df: DataFrame, keys: list[str], d: str, cols: list[str], st
     base = (df.where(all_not_null(keys + [d]))
               .select(*keys, F.col(d).cast("long").alias("_d"), *order,
                       *[F.col(c).cast("double").alias(c) for c in cols]))
+    # B4 first: one sample per (lap, distance), hot distances collapse map-side
+    base = dedupe_first(base, keys, ["_d"], order)
     base = base.withColumn("_c", floor_div(F.col("_d"), span))
     lapw = Window.partitionBy(*keys)
     cst = (base.groupBy(*keys, "_c").agg(F.min("_d").alias("_cmin"), F.max("_d").alias("_cmax"))
@@ -208,8 +210,6 @@ def interpolate_grid(df: DataFrame, keys: list[str], d: str, cols: list[str], st
     x = base.join(cst, keys + ["_c"])
     ordc = [F.col("_d")] + [F.col(o) for o in order]
     w = Window.partitionBy(*keys, "_c").orderBy(*ordc)
-    prev_d = F.lag("_d").over(w)
-    x = x.select("*", F.coalesce(prev_d != F.col("_d"), F.lit(True)).alias("_keep")).where("_keep").drop("_keep")
     if cols:
         car = chunk_carries(x, keys, "_c", ["_d"], prev_last=cols, next_first=cols)
         x = x.join(car, keys + ["_c"], "left")
@@ -247,11 +247,16 @@ def rebase_distance(df: DataFrame, keys: list[str], d: str) -> DataFrame:
 def dedupe_first(df: DataFrame, keys: list[str], by: list[str], order: list[str]) -> DataFrame:
     """Keep the first row per ``keys + by`` ordered by ``order``.
 
-    The window is partitioned by the full duplicate key, so it is as wide as
-    the largest group of exact duplicates, not as a lap.
+    A grouped ``min`` of a struct led by the order columns: partial
+    aggregation collapses duplicates inside every task before the shuffle,
+    so even a value repeated millions of times (a car standing still) never
+    gathers in one task.
     """
-    w = Window.partitionBy(*keys, *by).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    others = [c for c in df.columns if c not in keys and c not in by]
+    first = F.min(F.struct(*[F.col(o).alias(f"_o{i}") for i, o in enumerate(order)],
+                           *[F.col(c).alias(c) for c in others])).alias("_f")
+    g = df.groupBy(*keys, *by).agg(first)
+    return g.select(*keys, *by, *[F.col(f"_f.{c}").alias(c) for c in others]).select(*df.columns)
 
 
 def fill_gaps(df: DataFrame, keys: list[str], order: str, cols: list[str], mode: str = "ffill_bfill",
@@ -274,8 +279,12 @@ def fill_gaps(df: DataFrame, keys: list[str], order: str, cols: list[str], mode:
 def _halo_frame(grid: DataFrame, keys: list[str], tick: str, chunk_ticks: int, halo: int = HALO) -> DataFrame:
     """Tag grid rows with their chunk and copy border rows into neighbours.
 
-    Adds ``_pc`` (partition chunk), ``_own`` and ``_n`` (ticks in the lap) and
-    repartitions on ``(keys, _pc)``; the chunk statistics reuse that shuffle.
+    Adds ``_pc`` (partition chunk), ``_own`` and ``_n`` and repartitions on
+    ``(keys, _pc)``.  ``_n`` is ``max(tick) + 1`` over the partition - no
+    join: the first ``halo`` rows of the next chunk are always copied in, so
+    either the partition holds the lap's last tick (``_n`` is the lap length)
+    or its maximum lies ``halo`` rows past every owned row, where the edge
+    formulas cannot apply and any lap length that large gives the same result.
     """
     if chunk_ticks < 2 * halo:
         raise ValueError("chunk_ticks must be at least twice the halo")
@@ -288,10 +297,8 @@ def _halo_frame(grid: DataFrame, keys: list[str], tick: str, chunk_ticks: int, h
                       lambda e: e.isNotNull())
     g = g.withColumn("_pc", F.explode(copies)).withColumn("_own", F.col("_pc") == F.col("_tc")).drop("_tc")
     g = g.repartition(*keys, "_pc")
-    lapw = Window.partitionBy(*keys)
-    n = (g.where("_own").groupBy(*keys, "_pc").agg(F.max(tick).alias("_cmax"))
-          .select(*keys, "_pc", (F.max("_cmax").over(lapw) + 1).alias("_n")))
-    return g.join(n, keys + ["_pc"])
+    part = Window.partitionBy(*keys, "_pc")
+    return g.withColumn("_n", F.max(tick).over(part) + 1)
 
 
 def _shift_name(c: str, d: int) -> str:
@@ -327,20 +334,9 @@ def _gradient(c: str, w: Window, k: Column, n: Column, dt: float) -> Column:
             .otherwise((nxt - prv) / F.lit(2.0 * dt)))
 
 
-def dynamics(grid: DataFrame, keys: list[str], tick: str = "tick", speed: str = "Speed",
-             x: str = "X", y: str = "Y", dt: float = 1.0 / TIME_SAMPLE_RATE_HZ,
-             window: int = SAVGOL_WINDOW, poly: int = SAVGOL_POLY, position_scale: float = 1.0,
-             chunk_ticks: int = DEFAULT_CHUNK_TICKS) -> DataFrame:
-    """C4 + C5 + C6 (+ per-row energy increment): window chain over a dense grid.
-
-    Input: a grid with dense integer ticks ``0..n-1`` per lap (C1 output).
-    Adds ``Speed_mps, VX, VY, AX_long, AY_lat, Jerk_long, Jerk_lat`` and
-    ``_e = (|a_t| + |a_n|) * v * dt`` plus the internal chunk column ``_pc``.
-    Laps with fewer rows than the smallest usable smoother window get null
-    physics.  Speed is km/h; positions are used as given (``position_scale``).
-    """
-    keys = list(keys)
-    g = _halo_frame(grid, keys, tick, chunk_ticks)
+def _chain(g: DataFrame, keys: list[str], tick: str, speed: str, x: str, y: str, dt: float,
+           window: int, poly: int, position_scale: float) -> DataFrame:
+    """C4 -> C5 -> C6 window layers over a halo frame; returns owned rows only."""
     w = Window.partitionBy(*keys, "_pc").orderBy(tick)
     k, n = F.col(tick), F.col("_n")
     g = g.select("*", (F.col(speed) * F.lit(KMH_TO_MPS)).alias("_sp"),
@@ -360,26 +356,52 @@ def dynamics(grid: DataFrame, keys: list[str], tick: str = "tick", speed: str =
     g = g.select("*", _gradient("AX_long", w, k, n, dt).alias("Jerk_long"),
                  _gradient("AY_lat", w, k, n, dt).alias("Jerk_lat"),
                  ((F.abs("AX_long") + F.abs("AY_lat")) * F.col("_vn") * F.lit(dt)).alias("_e"))
-    g = g.where("_own")
-    out_cols = [c for c in grid.columns] + ["Speed_mps", "VX", "VY", "AX_long", "AY_lat",
-                                            "Jerk_long", "Jerk_lat", "_e", "_pc"]
-    return g.select(*out_cols)
+    return g.where("_own")
+
+
+_PHYSICS = ["Speed_mps", "VX", "VY", "AX_long", "AY_lat", "Jerk_long", "Jerk_lat"]
+
 
+def dynamics(grid: DataFrame, keys: list[str], tick: str = "tick", speed: str = "Speed",
+             x: str = "X", y: str = "Y", dt: float = 1.0 / TIME_SAMPLE_RATE_HZ,
+             window: int = SAVGOL_WINDOW, poly: int = SAVGOL_POLY, position_scale: float = 1.0,
+             chunk_ticks: int = DEFAULT_CHUNK_TICKS) -> DataFrame:
+    """C4 + C5 + C6 (+ per-row energy increment): window chain over a dense grid.
 
-def enrich(grid: DataFrame, keys: list[str], tick: str = "tick", **kw) -> DataFrame:
+    Input: a grid with dense integer ticks ``0..n-1`` per lap (C1 output).
+    Adds ``Speed_mps, VX, VY, AX_long, AY_lat, Jerk_long, Jerk_lat`` and
+    ``_e = (|a_t| + |a_n|) * v * dt`` plus the internal chunk column ``_pc``.
+    Laps with fewer rows than the smallest usable smoother window get null
+    physics.  Speed is km/h; positions are used as given (``position_scale``).
+    """
+    keys = list(keys)
+    g = _chain(_halo_frame(grid, keys, tick, chunk_ticks), keys, tick, speed, x, y, dt, window, poly,
+               position_scale)
+    return g.select(*grid.columns, *_PHYSICS, "_e", "_pc")
+
+
+def enrich(grid: DataFrame, keys: list[str], tick: str = "tick", speed: str = "Speed", x: str = "X",
+           y: str = "Y", dt: float = 1.0 / TIME_SAMPLE_RATE_HZ, window: int = SAVGOL_WINDOW,
+           poly: int = SAVGOL_POLY, position_scale: float = 1.0,
+           chunk_ticks: int = DEFAULT_CHUNK_TICKS) -> DataFrame:
     """C8 = C4 + C6 + C7: enriched telemetry with ``TireEnergyProxy``.
 
-    The running energy sum is a per-chunk running sum plus the sum of all
-    earlier chunks of the lap (chunk table), so no window spans a lap.
+    Laps that fit in one chunk (nearly all) take the running sum inside their
+    window partition.  Longer laps add the energy of all earlier chunks from
+    the chunk table; only their rows pay for that join.  The two branches
+    share one repartition (exchange reuse).
     """
     keys = list(keys)
-    g = dynamics(grid, keys, tick, **kw)
-    car = chunk_carries(g, keys, "_pc", [tick], prefix_sum=["_e"])
-    g = g.join(car, keys + ["_pc"], "left")
+    h = _halo_frame(grid, keys, tick, chunk_ticks)
+    args = (keys, tick, speed, x, y, dt, window, poly, position_scale)
     w = Window.partitionBy(*keys, "_pc").orderBy(tick).rowsBetween(_UNB_PRE, 0)
-    energy = F.col("_pre__e") + F.sum("_e").over(w)
-    return g.select(*grid.columns, "Speed_mps", "VX", "VY", "AX_long", "AY_lat", "Jerk_long", "Jerk_lat",
-                    energy.alias("TireEnergyProxy"))
+    one = _chain(h.where(F.col("_n") <= chunk_ticks), *args)
+    one = one.select(*grid.columns, *_PHYSICS, F.sum("_e").over(w).alias("TireEnergyProxy"))
+    many = _chain(h.where(F.col("_n") > chunk_ticks), *args)
+    car = chunk_carries(many, keys, "_pc", [tick], prefix_sum=["_e"])
+    many = many.join(car, keys + ["_pc"], "left")
+    many = many.select(*grid.columns, *_PHYSICS, (F.col("_pre__e") + F.sum("_e").over(w)).alias("TireEnergyProxy"))
+    return one.unionByName(many)
 
 
 def gradient(df: DataFrame, keys: list[str], tick: str, col: str, dt: float, out: str,
@@ -426,14 +448,20 @@ def every_nth(df: DataFrame, keys: list[str], tick: str, n: int = 10) -> DataFra
     return df.where(F.pmod(F.col(tick), F.lit(n)) == 0)
 
 
-def every_nth_rows(df: DataFrame, keys: list[str], order: list[str], n: int = 10) -> DataFrame:
+def every_nth_rows(df: DataFrame, keys: list[str], order: list[str], n: int = 10,
+                   chunk_span: int = 3_600_000_000) -> DataFrame:
     """C10 for irregular samples: ``(row_number - 1) % n == 0`` per lap.
 
-    Needs the position of every row in the lap, so the lap is one window
-    partition; use :func:`every_nth` on a grid when laps can be very large.
+    The row number within the lap is the count of rows in earlier chunks of
+    the integer order key ``order[0]`` (chunk table) plus the row number
+    inside the chunk, so no window spans a whole lap.
     """
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_rn", F.row_number().over(w)).where(((F.col("_rn") - 1) % n) == 0).drop("_rn")
+    x = df.withColumn("_c", floor_div(F.col(order[0]), chunk_span)).withColumn("_one", F.lit(1))
+    car = chunk_carries(x, keys, "_c", [order[0]], prefix_sum=["_one"])
+    x = x.join(car, keys + ["_c"], "left")
+    w = Window.partitionBy(*keys, "_c").orderBy(*order)
+    rn = F.col("_pre__one").cast("long") + F.row_number().over(w)
+    return x.select("*", rn.alias("_rn")).where(((F.col("_rn") - 1) % n) == 0).select(*df.columns)
 
 
 def fastest_laps(laps: DataFrame, driver_keys: list[str], lap_time: str = "LapTimeSeconds",
