@@ -21,7 +21,7 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # AQE re-plans a sort-merge join as broadcast only when the measured
     # shuffle output of one side is under this bound.
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
 }
