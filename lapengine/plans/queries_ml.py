@@ -125,15 +125,20 @@ def f6_matrix_global(spark, sf):
     return x.select("lap_id", *cols)
 
 
-def _norm_sql() -> str:
+def _norm_parts() -> tuple[dict[str, str], str]:
     ctes = {**LF, "e5": "SELECT *, Energy_Index / nullif(Avg_Speed_mps * LapTimeSeconds, 0) AS Energy_per_m FROM lf",
             "z": "SELECT lap_id, Compound, " + ", ".join(
                 f"(({c} - avg({c}) OVER (PARTITION BY Year, Event)) / (CASE WHEN stddev_samp({c}) OVER "
                 f"(PARTITION BY Year, Event) = 0 THEN 1.0e0 ELSE stddev_samp({c}) OVER (PARTITION BY Year, Event) END)) "
                 f"AS {c}_norm" for c in mx.ZSCORE_FEATURES + ["Energy_per_m", "TyreLife"]) + " FROM e5"}
+    where = " AND ".join(f"{c} IS NOT NULL" for c in mx.NORM_FEATURES)
+    return ctes, where
+
+
+def _norm_sql() -> str:
+    ctes, where = _norm_parts()
     body = ("SELECT lap_id, " + ", ".join(f"{R(c)} AS {c}" for c in mx.NORM_FEATURES) + ", "
-            + ", ".join(_dummy_sql("Compound", "Compound", COMPOUNDS)) + " FROM z WHERE "
-            + " AND ".join(f"{c} IS NOT NULL" for c in mx.NORM_FEATURES))
+            + ", ".join(_dummy_sql("Compound", "Compound", COMPOUNDS)) + f" FROM z WHERE {where}")
     return q.with_(ctes, body)
 
 
@@ -397,3 +402,82 @@ def st2_stream_scoring(spark, sf):
         return fx.lap_features(spark, None, lineitem=stream_df).select(
             "lap_id", *[c for c in NUM_MODEL + CAT_MODEL if c != "Compound"], "Compound")
     return score_stream(spark, f"{sf}/lineitem.parquet*", sf, schema, model, prepare, ["lap_id"])
+
+
+# ------------------------------------------------------------------ more explicit operator entries
+
+@register("e8_gg_points",
+          q.with_({**q.zoh_ctes(), **q.dynamics_ctes()},
+                  f"SELECT Driver, LapNumber, tick, {R('AY_lat / ' + q.lit(9.81))} AS Lat_g, "
+                  f"{R('AX_long / ' + q.lit(9.81))} AS Long_g FROM d5"))
+def e8_gg_points(spark, sf):
+    """E8 points form: lateral / longitudinal g per grid sample."""
+    from lapengine.plans import telemetry as tp
+    return agg.gg_points(tp.dynamics(spark, sf), tp.LAP_KEYS)
+
+
+def _cov_sql() -> str:
+    ctes, where = _norm_parts()
+    cols = mx.NORM_FEATURES
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    ctes["m"] = f"SELECT {', '.join(cols)} FROM z WHERE {where}"
+    ctes["zs"] = "SELECT " + ", ".join(
+        f"({c} - avg({c}) OVER ()) / (CASE WHEN stddev_pop({c}) OVER () = 0 THEN 1.0e0 "
+        f"ELSE stddev_pop({c}) OVER () END) AS {c}" for c in cols) + " FROM m"
+    sel = " UNION ALL ".join(f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, {R(f'covar_samp({a}, {b})')} AS cov "
+                             f"FROM zs" for a, b in pairs)
+    return q.with_(ctes, sel)
+
+
+@register("f3_pca_covariance", _cov_sql())
+def f3_pca_covariance(spark, sf):
+    """F3's Gramian step: covariance of the standardised normalised matrix (one aggregate pass)."""
+    x, cols = mx.matrix_norm(fx.lap_features(spark, sf))
+    cols = mx.NORM_FEATURES
+    z = mx.standardize(x.select(*cols), cols)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    one = z.agg(*[F.covar_samp(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    stack = ", ".join(f"'{a}', '{b}', c{i}" for i, (a, b) in enumerate(pairs))
+    return one.select(F.expr(f"stack({len(pairs)}, {stack}) AS (feature_a, feature_b, cov)"))
+
+
+@register("a14_partitioned_roundtrip",
+          q.with_({"laps": fx.SQL_LAPS}, "SELECT Driver, LapNumber, Year, Event, SessionType FROM laps"))
+def a14_partitioned_roundtrip(spark, sf):
+    """One folder per session (partitioned Parquet, dynamic overwrite), read back."""
+    from lapengine.streaming.ingest import shared_dir
+    root = shared_dir(spark, "artefacts")
+    lp = fx.laps(spark, sf).select("Driver", "LapNumber", "Year", "Event", "SessionType")
+    sinks.write_artifact(lp, root, "laps")
+    return sinks.read_partitioned(spark, root, "laps").select("Driver", "LapNumber", "Year", "Event", "SessionType")
+
+
+@register("a15_pca_record")
+def a15_pca_record(spark, sf):
+    """The PCA model record written as JSON and read back."""
+    from lapengine.streaming.ingest import shared_dir
+    x, cols = mx.matrix_norm(fx.lap_features(spark, sf))
+    path = shared_dir(spark, "pca-model")
+    sinks.save_pca(pc.fit_pca(x, cols, 3).to_frame(spark), path)
+    return sinks.load_pca(spark, path)
+
+
+@register("f9_preprocessor")
+def f9_preprocessor(spark, sf):
+    """scaled numerics + one-hot categoricals as the model input vector."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    data = _model_data(spark, sf)
+    pre = Pipeline(stages=ml.build_preprocessor(NUM_MODEL, CAT_MODEL)).fit(data)
+    return pre.transform(data).select("lap_id", vector_to_array("features").alias("features"))
+
+
+@register("f20_model_roundtrip")
+def f20_model_roundtrip(spark, sf):
+    """F20 + F21: persist the fitted pipeline, load it back, score every lap."""
+    from lapengine.streaming.ingest import shared_dir
+    data = _model_data(spark, sf).withColumn("label", F.col(TARGET))
+    model = ml.make_pipeline(NUM_MODEL, CAT_MODEL, ml.model_zoo(small=True)["Lasso"]()).fit(data)
+    path = shared_dir(spark, "model")
+    ml.save_model(model, path)
+    return ml.predict(data.drop("label"), ml.load_model(path)).select("lap_id", "prediction")
