@@ -90,6 +90,7 @@ def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderkey") % 11 == 0, F.lit(None).cast("int"))
          .otherwise((F.col("o_orderkey") % 30).cast("int")).alias("TyreLife"),
         F.year("o_orderdate").alias("Year"),
+        F.col("o_orderdate").alias("SessionDate"),
         F.col("n_name").alias("Event"),
         F.col("n_nationkey").alias("RoundNumber"),
         F.col("o_orderstatus").alias("SessionType"),
@@ -178,6 +179,7 @@ SQL_LAPS = """SELECT CAST(o_custkey AS VARCHAR) AS Driver,
        o_orderpriority AS Compound,
        CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderkey % 30 AS INTEGER) END AS TyreLife,
        CAST(year(o_orderdate) AS INTEGER) AS Year,
+       o_orderdate AS SessionDate,
        n_name AS Event,
        n_nationkey AS RoundNumber,
        o_orderstatus AS SessionType

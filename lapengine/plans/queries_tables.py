@@ -327,10 +327,13 @@ def b12_project_present(spark, sf):
 
 @register("a1_scan_laps", q.with_({"laps": fx.SQL_LAPS},
                                   f"SELECT Driver, LapNumber, {R('LapTimeSeconds')} AS LapTimeSeconds FROM laps "
-                                  f"WHERE Year = 1996"))
+                                  f"WHERE SessionDate >= TIMESTAMP '1996-01-01' AND SessionDate < TIMESTAMP '1997-01-01'"))
 def a1_scan_laps(spark, sf):
-    """A1: pruned, filtered scan of the laps binding (filter reaches Parquet)."""
-    return fx.laps(spark, sf).where(F.col("Year") == 1996).select("Driver", "LapNumber", "LapTimeSeconds")
+    """A1: one season's laps - column-pruned scan, date range pushed into the Parquet reader."""
+    from datetime import datetime
+    lp = fx.laps(spark, sf)
+    season = (F.col("SessionDate") >= F.lit(datetime(1996, 1, 1))) & (F.col("SessionDate") < F.lit(datetime(1997, 1, 1)))
+    return lp.where(season).select("Driver", "LapNumber", "LapTimeSeconds")
 
 
 _A2_SQL = ("CASE WHEN len(string_split(label, '_')) > 2 THEN array_to_string(string_split(label, '_')"
