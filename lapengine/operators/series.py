@@ -126,9 +126,25 @@ def with_relative_time(df: DataFrame, keys: list[str], t_us: str, out: str = "Re
               .drop("_t0"))
 
 
+RAW_CHUNK_US = 3_600_000_000      # raw samples: at most one hour of a lap per window partition
+
+
+def raw_chunk_span(step_us: int, chunk_ticks: int, raw_chunk_us: int | None = None) -> int:
+    """Time span of one raw-sample chunk.
+
+    Independent of the grid chunk: raw samples can be far denser than grid
+    ticks, so the span is bounded by time (one hour, or one step if steps are
+    longer) rather than by a tick count.
+    """
+    if raw_chunk_us is not None:
+        return int(raw_chunk_us)
+    return int(min(step_us * chunk_ticks, max(step_us, RAW_CHUNK_US)))
+
+
 def resample_zoh(df: DataFrame, keys: list[str], t_us: str, cols: list[str], step_us: int,
                  tiebreak: list[str] = (), chunk_ticks: int = DEFAULT_CHUNK_TICKS,
-                 fill: bool = True, time_col: str = "RelativeTime_s") -> DataFrame:
+                 fill: bool = True, time_col: str = "RelativeTime_s",
+                 raw_chunk_us: int | None = None) -> DataFrame:
     """C1 (+C3): zero-order-hold resample of each lap on a fixed time grid.
 
     Tick ``k`` (``k = 0 .. floor(max rel / step)``) takes the whole row of the
@@ -142,7 +158,7 @@ def resample_zoh(df: DataFrame, keys: list[str], t_us: str, cols: list[str], ste
     """
     keys = list(keys)
     tiebreak = list(tiebreak)
-    span = int(step_us) * int(chunk_ticks)
+    span = raw_chunk_span(step_us, chunk_ticks, raw_chunk_us)
     base = (df.where(all_not_null(keys + [t_us]))
               .select(*keys, F.col(t_us).cast("long").alias("_t"), *tiebreak,
                       *[F.col(c).cast("double").alias(c) for c in cols]))

@@ -330,9 +330,9 @@ def b12_project_present(spark, sf):
                                   f"WHERE SessionDate >= TIMESTAMP '1996-01-01' AND SessionDate < TIMESTAMP '1997-01-01'"))
 def a1_scan_laps(spark, sf):
     """A1: one season's laps - column-pruned scan, date range pushed into the Parquet reader."""
-    from datetime import datetime
     lp = fx.laps(spark, sf)
-    season = (F.col("SessionDate") >= F.lit(datetime(1996, 1, 1))) & (F.col("SessionDate") < F.lit(datetime(1997, 1, 1)))
+    lo, hi = F.expr("TIMESTAMP_NTZ'1996-01-01 00:00:00'"), F.expr("TIMESTAMP_NTZ'1997-01-01 00:00:00'")
+    season = (F.col("SessionDate") >= lo) & (F.col("SessionDate") < hi)
     return lp.where(season).select("Driver", "LapNumber", "LapTimeSeconds")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -106,8 +104,9 @@ def pending_signals(inventory: DataFrame, telemetry_labels: DataFrame, feature_l
 def interval_seconds(c: str | Column) -> Column:
     """Seconds of a day-time interval (exact to the microsecond)."""
     col = F.col(c) if isinstance(c, str) else c
-    epoch = F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz")
-    return F.unix_micros((epoch + col).cast("timestamp")).cast("double") / F.lit(1e6)
+    # wall-clock arithmetic on timestamp_ntz: independent of the session time zone
+    epoch = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    return F.timestamp_diff("MICROSECOND", epoch, epoch + col).cast("double") / F.lit(1e6)
 
 
 def extract_laps(raw: DataFrame, lap_time: str = "LapTime") -> DataFrame:
