@@ -226,13 +226,29 @@ def interpolate_grid(df: DataFrame, keys: list[str], d: str, cols: list[str], st
     x = base.join(cst, keys + ["_c"])
     ordc = [F.col("_d")] + [F.col(o) for o in order]
     w = Window.partitionBy(*keys, "_c").orderBy(*ordc)
+    # one chunk table for everything that crosses a chunk border: fill carries
+    # and the (filled) first row of the next non-empty chunk
+    aggs = [F.min(F.struct(F.col("_d").alias("_k"), *[F.col(c).alias(f"v_{c}") for c in cols])).alias("_frow")]
+    for c in cols:
+        nn = F.when(F.col(c).isNotNull(), F.struct(F.col("_d").alias("_k"), F.col(c).alias("v")))
+        aggs += [F.max(nn).alias(f"_lnn_{c}"), F.min(nn).alias(f"_fnn_{c}")]
+    st = x.groupBy(*keys, "_c").agg(*aggs)
+    cw = Window.partitionBy(*keys).orderBy("_c")
+    before, after = cw.rowsBetween(_UNB_PRE, -1), cw.rowsBetween(1, _UNB_FOL)
+    sel = [*keys, "_c", F.lead("_frow").over(cw).alias("_nrow")]
+    for c in cols:
+        sel += [F.col(f"_lnn_{c}.v").alias(f"_lnn_{c}"),
+                F.last(F.col(f"_lnn_{c}.v"), True).over(before).alias(f"_prev_{c}"),
+                F.first(F.col(f"_fnn_{c}.v"), True).over(after).alias(f"_next_{c}")]
+    st = st.select(*sel)
+    nxt = [F.col("_nrow._k").alias("_nr__d")]
+    for c in cols:  # next chunk's first row, filled forward then backward
+        nxt.append(F.coalesce(F.col(f"_nrow.v_{c}"), F.col(f"_lnn_{c}"), F.col(f"_prev_{c}"),
+                              F.col(f"_next_{c}")).alias(f"_nr_{c}"))
+    st = st.select(*keys, "_c", *nxt, *[F.col(f"_prev_{c}") for c in cols], *[F.col(f"_next_{c}") for c in cols])
+    x = x.join(st, keys + ["_c"], "left")
     if cols:
-        car = chunk_carries(x, keys, "_c", ["_d"], prev_last=cols, next_first=cols)
-        x = x.join(car, keys + ["_c"], "left")
         x = _replace_cols(x, _fill_exprs(keys, "_c", ordc, cols, None, "ffill_bfill"))
-        x = x.drop(*[f"_prev_{c}" for c in cols], *[f"_next_{c}" for c in cols])
-    nr = chunk_carries(x, keys, "_c", ["_d"], next_row=["_d"] + list(cols))
-    x = x.join(nr, keys + ["_c"], "left")
     x = x.select("*", F.coalesce(F.lead("_d").over(w), F.col("_nr__d")).alias("_nd"),
                  *[F.coalesce(F.lead(c).over(w), F.col(f"_nr_{c}")).alias(f"_n_{c}") for c in cols])
     rel = F.col("_d") - F.col("_d0")

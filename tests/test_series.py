@@ -158,3 +158,10 @@ def test_window_chain_uses_one_data_shuffle(spark):
     big = [ln for ln in plan.splitlines() if "Exchange hashpartitioning(Driver" in ln and "_pc" in ln]
     assert len(big) >= 1
     _ = F
+
+
+def test_interpolate_nulls_chunk_invariant(spark):
+    key = ["Driver", "LapNumber", "tick"]
+    a = tp.distance_grid(spark, SF_SMALL, null_value=True).toPandas().sort_values(key).reset_index(drop=True)
+    b = tp.distance_grid(spark, SF_SMALL, null_value=True, chunk_ticks=2).toPandas().sort_values(key).reset_index(drop=True)
+    pd.testing.assert_frame_equal(a, b, check_exact=False, rtol=1e-12)
