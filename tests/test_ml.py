@@ -138,3 +138,11 @@ def test_metrics_json(spark, n):
                               "model string, MAE double, RMSE double, R2 double")
     doc = json.loads(metrics_json(m, ml.MODEL_ORDER).first().json)
     assert doc["best_model"] == "Lasso" and "RandomForest" in doc["models"]
+
+
+def test_tree_importances_ranked(spark):
+    data = _data(spark).withColumn("label", F.col("TargetTime"))
+    model = ml.make_pipeline(NUM, ["Compound"], ml.model_zoo(small=True)["RandomForest"]()).fit(data)
+    imp = attr.tree_importances(spark, model, attr.feature_slot_names(model, NUM, ["Compound"])).collect()
+    assert imp[0].feature in ("Avg_Speed_mps", "Brake_Aggression", "Max_Longitudinal_g")
+    assert abs(sum(r.value for r in imp) - 1.0) < 1e-9

@@ -165,3 +165,16 @@ def test_interpolate_nulls_chunk_invariant(spark):
     a = tp.distance_grid(spark, SF_SMALL, null_value=True).toPandas().sort_values(key).reset_index(drop=True)
     b = tp.distance_grid(spark, SF_SMALL, null_value=True, chunk_ticks=2).toPandas().sort_values(key).reset_index(drop=True)
     pd.testing.assert_frame_equal(a, b, check_exact=False, rtol=1e-12)
+
+
+@pytest.mark.parametrize("mode,chunk", [("ffill_bfill", series.DEFAULT_CHUNK_TICKS), ("bfill_ffill", 2)])
+def test_fill_gaps_matches_pandas(spark, mode, chunk):
+    vals = [None, 1.0, None, None, 4.0, None, 6.0, None]
+    rows = [("d", 1, k, v) for k, v in enumerate(vals)] + [("d", 2, k, None) for k in range(3)]
+    df = spark.createDataFrame(rows, "Driver string, LapNumber int, tick long, v double")
+    out = series.fill_gaps(df, ["Driver", "LapNumber"], "tick", ["v"], mode, chunk_ticks=chunk).toPandas()
+    got = out[out.LapNumber == 1].sort_values("tick")["v"].to_numpy()
+    s = pd.Series(vals, dtype=float)
+    exp = (s.ffill().bfill() if mode == "ffill_bfill" else s.bfill().ffill()).to_numpy()
+    assert np.allclose(got, exp)
+    assert out[out.LapNumber == 2]["v"].isna().all()

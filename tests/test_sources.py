@@ -70,3 +70,13 @@ def test_stream_ingest_equals_batch(spark, tmpdir_path):
     b = batch.toPandas().sort_values(key).reset_index(drop=True)
     assert len(a) == len(b)
     assert (a[key] == b[key]).all().all()
+
+
+def test_read_artifact_csv_and_parquet(spark, tmpdir_path):
+    from lapengine import schemas
+    df = spark.createDataFrame([("1", 3, "SOFT", 2, 90.5)], schemas.LAPS_METADATA)
+    df.write.option("header", True).csv(os.path.join(tmpdir_path, "meta_csv"))
+    df.write.parquet(os.path.join(tmpdir_path, "meta_pq"))
+    a = src.read_artifact(spark, os.path.join(tmpdir_path, "meta_csv"), "laps_metadata", fmt="csv").first()
+    b = src.read_artifact(spark, os.path.join(tmpdir_path, "meta_pq"), "laps_metadata").first()
+    assert a == b and a.LapTimeSeconds == 90.5 and a.LapNumber == 3
