@@ -110,6 +110,24 @@ def _replace_cols(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     return df.select(*[new[c].alias(c) if c in new else F.col(c) for c in df.columns])
 
 
+
+TICK_BLOCK = 1 << 16              # ticks generated per array when a sample owns a long range
+
+
+def explode_ticks(df: DataFrame, lo: str, hi: str, out: str = "tick", block: int = TICK_BLOCK) -> DataFrame:
+    """One row per integer tick in ``[lo, hi]`` (rows with ``hi < lo`` give none).
+
+    Two nested explodes - blocks of ``block`` ticks, then the ticks of each
+    block - so a sample followed by a long gap never materialises one huge
+    array; output is streamed row by row into the next operator.
+    """
+    b = df.where(F.col(hi) >= F.col(lo))
+    b = b.select("*", F.explode(F.sequence(floor_div(F.col(lo), block), floor_div(F.col(hi), block))).alias("_blk"))
+    first = F.greatest(F.col(lo), F.col("_blk") * F.lit(block))
+    last = F.least(F.col(hi), F.col("_blk") * F.lit(block) + F.lit(block - 1))
+    return b.select("*", F.explode(F.sequence(first, last)).alias(out)).drop("_blk")
+
+
 # --------------------------------------------------------------------------
 # Time alignment
 # --------------------------------------------------------------------------
@@ -184,8 +202,7 @@ def resample_zoh(df: DataFrame, keys: list[str], t_us: str, cols: list[str], ste
         car = chunk_carries(x, keys, "_c", ["_t"], prev_last=cols, next_first=cols, mask=eff)
         x = x.join(car, keys + ["_c"], "left")
         x = _replace_cols(x, _fill_exprs(keys, "_c", order, cols, eff, "bfill_ffill"))
-    x = x.where(F.col("_hi") >= F.col("_lo"))
-    x = x.select(*keys, F.explode(F.sequence("_lo", "_hi")).alias("tick"), *cols)
+    x = explode_ticks(x.select(*keys, "_lo", "_hi", *cols), "_lo", "_hi")
     return x.select(*keys, "tick",
                     ((F.col("tick") * F.lit(step_us)).cast("double") / F.lit(1e6)).alias(time_col),
                     *cols)
@@ -255,8 +272,7 @@ def interpolate_grid(df: DataFrame, keys: list[str], d: str, cols: list[str], st
     nrel = F.col("_nd") - F.col("_d0")
     lo = ceil_div_nonneg(rel, step)
     hi = F.when(F.col("_nd").isNull(), lo).otherwise(ceil_div_nonneg(nrel, step) - 1)
-    x = x.select("*", lo.alias("_lo"), hi.alias("_hi")).where(F.col("_hi") >= F.col("_lo"))
-    x = x.select("*", F.explode(F.sequence("_lo", "_hi")).alias("tick"))
+    x = explode_ticks(x.select("*", lo.alias("_lo"), hi.alias("_hi")), "_lo", "_hi")
     xt = F.col("tick") * F.lit(step)
     vals = []
     for c in cols:

@@ -178,3 +178,9 @@ def test_fill_gaps_matches_pandas(spark, mode, chunk):
     exp = (s.ffill().bfill() if mode == "ffill_bfill" else s.bfill().ffill()).to_numpy()
     assert np.allclose(got, exp)
     assert out[out.LapNumber == 2]["v"].isna().all()
+
+
+def test_explode_ticks_blocks(spark):
+    df = spark.createDataFrame([(0, 10), (5, 4), (3, 3), (60, 200)], "lo long, hi long")
+    out = sorted(r.tick for r in series.explode_ticks(df, "lo", "hi", block=16).collect())
+    assert out == sorted(list(range(0, 11)) + [3] + list(range(60, 201)))
