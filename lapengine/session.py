@@ -45,14 +45,20 @@ CLUSTER_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[8]", shuffle_partitions: int | None = None,
                   app_name: str = "lapengine", extra: dict | None = None) -> SparkSession:
+    """Session with the engine's settings; local masters get the small-shuffle profile,
+    anything else the cluster profile."""
     b = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
     if master.startswith("local"):
         conf.update(LOCAL_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+        conf.setdefault("spark.driver.memory", "16g")
+    else:
+        conf.update(CLUSTER_CONF)
+        if shuffle_partitions:
+            conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if extra:
         conf.update(extra)
     for k, v in conf.items():

@@ -7,6 +7,10 @@ present and stops, which makes the job schedulable like a batch job.  Each
 micro-batch runs the ordinary batch plan and writes its result under
 ``epoch=<id>`` with overwrite, so a batch re-run after a failure replaces its
 own output instead of duplicating it.
+
+Each file must hold whole sessions (the reference writes one folder per
+session): a micro-batch is processed as a closed set of laps, because the
+grid and smoothing operators look forward within a lap.
 """
 
 from __future__ import annotations
