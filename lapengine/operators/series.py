@@ -208,6 +208,12 @@ def resample_zoh(df: DataFrame, keys: list[str], t_us: str, cols: list[str], ste
                     *cols)
 
 
+def align_time(df: DataFrame, keys: list[str], t_us: str, cols: list[str],
+               hz: float = TIME_SAMPLE_RATE_HZ, **kw) -> DataFrame:
+    """C1 with the reference's 10 Hz grid (``t_us`` in microseconds)."""
+    return resample_zoh(df, keys, t_us, cols, int(round(1e6 / hz)), **kw)
+
+
 # --------------------------------------------------------------------------
 # Distance alignment
 # --------------------------------------------------------------------------
@@ -285,6 +291,12 @@ def interpolate_grid(df: DataFrame, keys: list[str], d: str, cols: list[str], st
     return x.select(*keys, "tick", dist.alias(out_col), *vals, pct.alias(pct_col))
 
 
+def align_distance(df: DataFrame, keys: list[str], d_cm: str, cols: list[str],
+                   step_m: float = DISTANCE_STEP_M, **kw) -> DataFrame:
+    """C2 with the reference's 1 m grid (``d_cm``: distance in integer centimetres)."""
+    return interpolate_grid(df, keys, d_cm, cols, int(round(step_m * 100)), scale=100.0, **kw)
+
+
 def rebase_distance(df: DataFrame, keys: list[str], d: str) -> DataFrame:
     """Distance minus the lap minimum, null distances dropped."""
     start = df.where(F.col(d).isNotNull()).groupBy(*keys).agg(F.min(d).alias("_d0"))

@@ -184,3 +184,29 @@ def test_explode_ticks_blocks(spark):
     df = spark.createDataFrame([(0, 10), (5, 4), (3, 3), (60, 200)], "lo long, hi long")
     out = sorted(r.tick for r in series.explode_ticks(df, "lo", "hi", block=16).collect())
     assert out == sorted(list(range(0, 11)) + [3] + list(range(60, 201)))
+
+
+def test_long_lap_is_split_into_bounded_partitions(spark):
+    """One lap of 50,000 ticks: window partitions hold at most chunk + 2 * halo rows."""
+    from pyspark.sql import functions as F
+    n, chunk = 50_000, 4096
+    g = spark.range(n).select(F.lit("hot").alias("Driver"), F.lit(1).alias("LapNumber"), F.col("id").alias("tick"),
+                              (F.col("id") % 97).cast("double").alias("Speed"),
+                              F.sin(F.col("id") / 50.0).alias("X"), F.cos(F.col("id") / 50.0).alias("Y"))
+    h = series._halo_frame(g, ["Driver", "LapNumber"], "tick", chunk)
+    sizes = [r["count"] for r in h.groupBy("_pc").count().collect()]
+    assert len(sizes) == -(-n // chunk) and max(sizes) <= chunk + 2 * series.HALO
+    a = series.dynamics(g, ["Driver", "LapNumber"], dt=0.1, chunk_ticks=chunk).select("tick", "Jerk_long")
+    b = series.dynamics(g, ["Driver", "LapNumber"], dt=0.1).select("tick", F.col("Jerk_long").alias("j"))
+    diff = a.join(b, "tick").select(F.max(F.abs(F.col("Jerk_long") - F.col("j")))).first()[0]
+    assert diff == 0.0
+
+
+def test_reference_default_grids(spark):
+    rows = [("d", 1, 0, 0, 10.0), ("d", 1, 250_000, 150, 20.0), ("d", 1, 1_000_000, 420, 30.0)]
+    df = spark.createDataFrame(rows, "Driver string, LapNumber int, t long, d long, v double")
+    t = series.align_time(df, ["Driver", "LapNumber"], "t", ["v"]).orderBy("tick").collect()
+    assert [r.tick for r in t] == list(range(11)) and t[2].v == 10.0 and t[3].v == 20.0 and t[10].v == 30.0
+    d = series.align_distance(df, ["Driver", "LapNumber"], "d", ["v"]).orderBy("tick").collect()
+    assert [r.Distance_m for r in d] == [0.0, 1.0, 2.0, 3.0, 4.0, 5.0]
+    assert abs(d[1].v - (10.0 + 10.0 * 100 / 150)) < 1e-12
