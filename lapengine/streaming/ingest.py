@@ -52,7 +52,10 @@ def ingest_available(spark: SparkSession, source_glob: str, base_path: str, sche
     sink = sink or shared_dir(spark, "ingest-out")
     checkpoint = checkpoint or shared_dir(spark, "ingest-ckpt")
     q = start_ingest(spark, source_glob, base_path, schema, transform, sink, checkpoint)
-    q.awaitTermination(timeout_s)
+    finished = q.awaitTermination(timeout_s)
+    if not finished:  # never hand back a partial result
+        q.stop()
+        raise TimeoutError(f"streaming query did not finish within {timeout_s} s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(sink).drop("epoch")

@@ -24,7 +24,10 @@ def score_stream(spark: SparkSession, source_glob: str, base_path: str, schema:
     scored = predict(prepare(src), model, defaults).select(*keep, "prediction")
     q = (scored.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint)
                .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination(timeout_s)
+    finished = q.awaitTermination(timeout_s)
+    if not finished:  # never hand back a partial result
+        q.stop()
+        raise TimeoutError(f"streaming query did not finish within {timeout_s} s")
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     return spark.read.parquet(sink)
