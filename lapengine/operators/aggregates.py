@@ -154,11 +154,16 @@ def box_stats(df: DataFrame, by: str, col: str, exact: bool = True, accuracy: in
 
     ``exact`` ranks rows with a distributed sort (see ``exact_quantiles``);
     otherwise ``percentile_approx`` with bounded memory per group.  Both keep
-    every group spread over many tasks.  The quartile pass and the whisker
-    pass read the same range-partitioned exchange, so the input is computed
-    once.
+    every group spread over many tasks.  The input pairs are checkpointed
+    once, so the quartile and whisker passes do not recompute the upstream.
     """
-    x = df.select(by, col).where(F.col(col).isNotNull() & F.col(by).isNotNull()).repartitionByRange(by, col)
+    from lapengine.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    # three consumers (counts, ranks, whiskers) prune columns differently, so
+    # Spark would not reuse a shared exchange and would recompute the input
+    # for each; materialise the (group, value) pairs once instead
+    pairs = df.select(by, col).where(F.col(col).isNotNull() & F.col(by).isNotNull()).checkpoint(eager=True)
+    x = pairs.repartitionByRange(by, col)
     if exact:
         qs = exact_quantiles(df, by, col, [0.25, 0.5, 0.75], ranged=x)
     else:

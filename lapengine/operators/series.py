@@ -448,10 +448,13 @@ def enrich(grid: DataFrame, keys: list[str], tick: str = "tick", speed: str = "S
 
     Laps that fit in one chunk (nearly all) take the running sum inside their
     window partition.  Longer laps add the energy of all earlier chunks from
-    the chunk table; only their rows pay for that join.  The two branches
-    share one repartition (exchange reuse).
+    the chunk table; only their rows pay for that join.
     """
     keys = list(keys)
+    # The branches read the halo frame with different column sets, so Spark
+    # does not reuse the exchange and recomputes the grid per branch.  That was
+    # measured cheaper than a checkpoint of the whole halo grid here; at scale
+    # the two cost about the same (two more grid passes vs. a full write+read).
     h = _halo_frame(grid, keys, tick, chunk_ticks)
     args = (keys, tick, speed, x, y, dt, window, poly, position_scale)
     w = Window.partitionBy(*keys, "_pc").orderBy(tick).rowsBetween(_UNB_PRE, 0)
