@@ -1,4 +1,4 @@
 """Loads every module that registers a training-data query."""
 
-from lapengine.llm import chat, decontaminate, language, pieces, quality, secrets, simhash, url_filter, warc  # noqa: F401
+from lapengine.llm import chat, decontaminate, language, pieces, quality, secrets, simhash, substrings, url_filter, warc  # noqa: F401
 from lapengine.llm.registry import ORACLE, QUERIES  # noqa: F401
