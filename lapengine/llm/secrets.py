@@ -8,7 +8,8 @@ of a blob are scanned once.  ``findings`` joins the spans back to all rows.
 All of it is DataFrame expressions: rows never leave the JVM.
 
 Defined cases: a null text is the empty blob, which has no span.  Repeated
-rows share a blob and each get its spans.  Other columns are not read.  A run
+rows share a blob and each get its spans.  Other columns are kept, but for
+``secret_spans`` and names that begin with an underscore, which are reserved.  A run
 that dies before its ledger batch is committed leaves no entry, so the next
 run scans those blobs again; a blob scanned twice gets its spans once.
 """

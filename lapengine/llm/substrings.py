@@ -21,7 +21,7 @@ Equal texts are one text with several rows: all their windows repeat.
 
 Defined cases: a null text has no word.  A text of fewer than LENGTH words
 has no window and keeps all words.  Repeated rows are copies of each other.
-Other columns are kept.
+Other columns are kept; names that begin with an underscore are reserved.
 """
 
 from __future__ import annotations
