@@ -77,17 +77,39 @@ def extraction_totals(log: DataFrame) -> DataFrame:
                     F.format_string("%.1f%%", F.round(rate, 1)).alias("success_rate"))
 
 
+# At most so many groups' statistics are broadcast; more are joined by salted keys.
+MAX_BROADCAST_GROUPS = 10_000
+JOIN_SALTS = 64
+
+
+def _with_group_stats(df: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join of one statistics row per group, without moving the rows of a large group to one task.
+
+    The statistics are materialised and counted.  Up to MAX_BROADCAST_GROUPS
+    rows are broadcast, so ``df`` is not shuffled at all; beyond that every
+    group is dealt over JOIN_SALTS keys and its statistics row is repeated.
+    """
+    from lapengine.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    stats = stats.checkpoint(eager=True)
+    if stats.limit(MAX_BROADCAST_GROUPS + 1).count() <= MAX_BROADCAST_GROUPS:
+        return df.join(F.broadcast(stats), keys, "left")
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(JOIN_SALTS))
+    salts = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(JOIN_SALTS - 1).cast("bigint")))
+    return df.withColumn("_salt", salt).join(stats.withColumn("_salt", salts), [*keys, "_salt"], "left").drop("_salt")
+
+
 def zscore_by(df: DataFrame, keys: list[str], cols: list[str], suffix: str = "_norm") -> DataFrame:
     """Per-group z-score with the sample std; 0 spread -> divide by 1.
 
     One-row groups have an undefined std and give null (the row is dropped
     later by complete-case filtering).  Statistics are grouped aggregates
-    joined back on the group key (partial aggregation; no window over a
-    possibly huge group).
+    (partial aggregation; no window over a possibly huge group) attached by
+    ``_with_group_stats``.
     """
     stats = df.groupBy(*keys).agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
                                   *[F.stddev_samp(c).alias(f"_s_{c}") for c in cols])
-    j = df.join(stats, keys, "left")
+    j = _with_group_stats(df, stats, keys)
     out = []
     for c in cols:
         sd = F.col(f"_s_{c}")
@@ -108,16 +130,28 @@ def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).where(F.col(col).isNotNull()).distinct().orderBy(col)
 
 
+def ranged_pairs(df: DataFrame, by: str, col: str) -> DataFrame:
+    """Non-null ``(by, col)`` pairs sorted over the cluster, with their partition number, written once.
+
+    Ranks are computed from this one copy, so they don't depend on whether
+    Spark reuses an exchange or computes it again.  A row number is the last
+    range column: any number of equal values is spread over partitions too.
+    """
+    from lapengine.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    pairs = df.select(by, col).where(F.col(col).isNotNull() & F.col(by).isNotNull())
+    return (pairs.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(by, col, "_tie")
+                 .select(by, col, F.spark_partition_id().alias("_pid")).checkpoint(eager=True))
+
+
 def _ranked(x: DataFrame, by: str, col: str) -> tuple[DataFrame, DataFrame]:
-    """Rank of every row inside its group over a range-partitioned frame.
+    """Rank of every row inside its group over ``ranged_pairs``, and per-group counts.
 
-    ``x`` must be range-partitioned on ``(by, col)``.  Returns (ranked rows,
-    per-group counts).  The rank is the number of group rows in earlier
-    partitions (small table of per-partition counts) plus the row's position
-    in its own partition, so a group never has to sit in one task.
+    The rank is the number of group rows in earlier partitions (small table of
+    per-partition counts) plus the row's position in its own partition, so a
+    group never has to sit in one task.
     """
     from pyspark.sql import Window
-    x = x.withColumn("_pid", F.spark_partition_id())
     local = x.withColumn("_lr", F.row_number().over(Window.partitionBy("_pid", by).orderBy(col)) - 1)
     cnt = x.groupBy("_pid", by).agg(F.count(F.lit(1)).alias("_c"))
     off = cnt.select("_pid", by, F.coalesce(F.sum("_c").over(
@@ -133,8 +167,7 @@ def exact_quantiles(df: DataFrame, by: str, col: str, probs: list[float],
     The two order statistics around ``p * (n - 1)`` are picked from the
     ranked rows by one equi join on ``(group, rank)``.  Output: ``by, q0, q1, ...``.
     """
-    x = ranged if ranged is not None else (
-        df.select(by, col).where(F.col(col).isNotNull() & F.col(by).isNotNull()).repartitionByRange(by, col))
+    x = ranged if ranged is not None else ranged_pairs(df, by, col)
     ranked, n = _ranked(x, by, col)
     pos = n.select(by, F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("_qi", "_p"), "_n") \
            .select(by, "_qi", (F.col("_p") * (F.col("_n") - 1)).alias("_pos"))
@@ -154,16 +187,10 @@ def box_stats(df: DataFrame, by: str, col: str, exact: bool = True, accuracy: in
 
     ``exact`` ranks rows with a distributed sort (see ``exact_quantiles``);
     otherwise ``percentile_approx`` with bounded memory per group.  Both keep
-    every group spread over many tasks.  The input pairs are checkpointed
-    once, so the quartile and whisker passes do not recompute the upstream.
+    every group spread over many tasks, and read the pairs that
+    ``ranged_pairs`` has written.
     """
-    from lapengine.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    # three consumers (counts, ranks, whiskers) prune columns differently, so
-    # Spark would not reuse a shared exchange and would recompute the input
-    # for each; materialise the (group, value) pairs once instead
-    pairs = df.select(by, col).where(F.col(col).isNotNull() & F.col(by).isNotNull()).checkpoint(eager=True)
-    x = pairs.repartitionByRange(by, col)
+    x = ranged_pairs(df, by, col)
     if exact:
         qs = exact_quantiles(df, by, col, [0.25, 0.5, 0.75], ranged=x)
     else:
@@ -172,7 +199,7 @@ def box_stats(df: DataFrame, by: str, col: str, exact: bool = True, accuracy: in
     qs = qs.select(by, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     qs = qs.select("*", (F.col("q1") - F.lit(1.5) * iqr).alias("_lo"), (F.col("q3") + F.lit(1.5) * iqr).alias("_hi"))
-    j = x.join(qs, by)
+    j = _with_group_stats(x.select(by, col), qs, [by])
     inside = (F.col(col) >= F.col("_lo")) & (F.col(col) <= F.col("_hi"))
     return j.groupBy(by, "q1", "median", "q3").agg(
         F.min(F.when(inside, F.col(col))).alias("whisker_low"),
@@ -181,17 +208,14 @@ def box_stats(df: DataFrame, by: str, col: str, exact: bool = True, accuracy: in
         F.count(F.lit(1)).alias("n"))
 
 
-def gg_hist(df: DataFrame, lat: str = "AY_lat", lon: str = "AX_long", bin_g: float = 0.5,
-            limit_g: float = 5.0) -> DataFrame:
+def gg_hist(df: DataFrame, lat: str = "AY_lat", lon: str = "AX_long", bin_g: float = 0.5) -> DataFrame:
     """Friction diagram as a 2-D histogram of (lateral g, longitudinal g).
 
-    ``floor(g / bin)`` bins, clamped to +/- ``limit_g``; partial aggregation.
+    ``floor(g / bin)`` bins of all points; partial aggregation.  An axis range
+    is the reader's choice, as a filter on the bins.
     """
-    nb = int(round(limit_g / bin_g))
-
     def b(c):
-        g = F.col(c) / F.lit(STANDARD_GRAVITY)
-        return F.least(F.greatest(F.floor(g / F.lit(bin_g)), F.lit(-nb)), F.lit(nb - 1))
+        return F.floor(F.col(c) / F.lit(STANDARD_GRAVITY) / F.lit(bin_g))
     return (df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull())
               .groupBy(b(lat).alias("lat_bin"), b(lon).alias("lon_bin")).count())
 
@@ -232,24 +256,15 @@ def energy_curve(df: DataFrame, keys: list[str], drivers: list[str] | None = Non
 
 def regression_metrics(pred: DataFrame, y: str = "y_true", yhat: str = "y_pred",
                        by: list[str] | None = None) -> DataFrame:
-    """MAE, RMSE, R2 (optionally per group); two aggregates, no collect."""
+    """MAE, RMSE, R2 (optionally per group) in one aggregate.
+
+    The total sum of squares is the population variance times the count.
+    """
     by = list(by or [])
-    e = F.col(yhat) - F.col(y)
-    first = pred.groupBy(*by).agg(F.avg(F.abs(e)).alias("MAE"), F.avg(e * e).alias("_mse"),
-                                  F.sum(e * e).alias("_sse"), F.avg(y).alias("_ybar"),
-                                  F.count(F.lit(1)).alias("n"))
-    if by:
-        j = pred.join(first.select(*by, "_ybar"), by)
-    else:  # one statistics row: broadcast equi join on a constant key
-        j = pred.withColumn("_one", F.lit(1)).join(
-            F.broadcast(first.select("_ybar", F.lit(1).alias("_one"))), "_one")
-    sst = j.groupBy(*by).agg(F.sum((F.col(y) - F.col("_ybar")) * (F.col(y) - F.col("_ybar"))).alias("_sst"))
-    if by:
-        out = first.join(sst, by)
-    else:
-        out = first.withColumn("_one", F.lit(1)).join(F.broadcast(sst.withColumn("_one", F.lit(1))), "_one")
-    r2 = F.when(F.col("_sst") == 0, F.lit(None).cast("double")).otherwise(F.lit(1.0) - F.col("_sse") / F.col("_sst"))
-    return out.select(*by, "MAE", F.sqrt("_mse").alias("RMSE"), r2.alias("R2"), "n")
+    e, n = F.col(yhat) - F.col(y), F.count(F.lit(1))
+    sst = F.var_pop(y) * n
+    r2 = F.when(sst == 0, F.lit(None).cast("double")).otherwise(F.lit(1.0) - F.sum(e * e) / sst)
+    return pred.groupBy(*by).agg(F.avg(F.abs(e)).alias("MAE"), F.sqrt(F.avg(e * e)).alias("RMSE"), r2.alias("R2"), n.alias("n"))
 
 
 def value_range(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,35 +27,32 @@ NORM_FEATURES = [
 EVENT_KEYS = ["Year", "Event"]
 META = ["Driver", "LapNumber", "Compound", "Year", "Event", "SessionType"]
 
-MAX_LEVELS = 1000
 
+def dummies(df: DataFrame, col: str, prefix: str, levels: list) -> tuple[DataFrame, list[str]]:
+    """0/1 indicator columns ``<prefix>_<value>`` of the given levels, in sorted order; null -> all 0.
 
-def category_levels(df: DataFrame, col: str, max_levels: int = MAX_LEVELS) -> list:
-    """Sorted distinct non-null values of a categorical column.
-
-    A grouped distinct (partial aggregation) whose result - the level list -
-    is the only thing brought to the driver; it is capped so a column that is
-    not really categorical fails loudly instead of flooding the driver.
+    ``levels`` come from the schema or from a catalogue table: columns are part
+    of a plan, so their list has to be known before it.  See ``one_hot`` for a
+    column whose values are not.
     """
-    vals = (df.where(F.col(col).isNotNull()).select(F.col(col).cast("string").alias("v"))
-              .distinct().orderBy("v").limit(max_levels + 1).collect())
-    if len(vals) > max_levels:
-        raise ValueError(f"{col} has more than {max_levels} levels")
-    return [r.v for r in vals]
-
-
-def dummies(df: DataFrame, col: str, prefix: str, levels: list | None = None) -> tuple[DataFrame, list[str]]:
-    """0/1 indicator columns ``<prefix>_<value>`` in sorted value order; null -> all 0."""
-    levels = category_levels(df, col) if levels is None else levels
+    levels = sorted(str(v) for v in levels)
     names = [f"{prefix}_{v}" for v in levels]
     cols = [F.when(F.col(col).cast("string") == F.lit(v), F.lit(1)).otherwise(F.lit(0)).alias(n)
             for v, n in zip(levels, names)]
     return df.select("*", *cols), names
 
 
-def one_row_join(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach a one-row statistics frame to every row (broadcast, 1 row)."""
-    return df.withColumn("_one", F.lit(1)).join(F.broadcast(stats.withColumn("_one", F.lit(1))), "_one").drop("_one")
+def one_hot(df: DataFrame, col: str, to: str) -> DataFrame:
+    """F1 for any number of unknown levels: a sparse 0/1 vector in sorted level order; null -> no slot set."""
+    text = df.withColumn("_level", F.col(col).cast("string"))
+    index = StringIndexer(inputCol="_level", outputCol="_slot", handleInvalid="keep", stringOrderType="alphabetAsc")
+    hot = OneHotEncoder(inputCol="_slot", outputCol=to, dropLast=True, handleInvalid="keep")
+    return Pipeline(stages=[index, hot]).fit(text).transform(text).drop("_level", "_slot")
+
+
+def one_row(stats: DataFrame) -> dict:
+    """The values of a one-row aggregate, to be used as literals."""
+    return stats.first().asDict()
 
 
 def standardize_stats(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -69,23 +68,23 @@ def standardize_stats(df: DataFrame, cols: list[str]) -> DataFrame:
 def standardize(df: DataFrame, cols: list[str], stats: DataFrame | None = None,
                 suffix: str = "") -> DataFrame:
     """``(x - mean) / std_pop`` per column (not ML StandardScaler: that uses the sample std)."""
-    st = standardize_stats(df, cols) if stats is None else stats
-    j = one_row_join(df, st)
-    scaled = [((F.col(c) - F.col(f"_mean_{c}")) / F.col(f"_scale_{c}")).alias(f"{c}{suffix}") for c in cols]
+    st = one_row(standardize_stats(df, cols) if stats is None else stats)
+    scaled = [((F.col(c) - F.lit(st[f"_mean_{c}"]).cast("double")) / F.lit(st[f"_scale_{c}"]).cast("double")).alias(f"{c}{suffix}")
+              for c in cols]
     keep = [c for c in df.columns if suffix or c not in cols]
-    return j.select(*keep, *scaled)
+    return df.select(*keep, *scaled)
 
 
-def matrix_session(feat: DataFrame) -> tuple[DataFrame, list[str]]:
+def matrix_session(feat: DataFrame, compounds: list) -> tuple[DataFrame, list[str]]:
     """base features + Compound dummies (one session's laps)."""
-    x, names = dummies(feat, "Compound", "Compound")
+    x, names = dummies(feat, "Compound", "Compound", compounds)
     return x, BASE_FEATURES + names
 
 
-def matrix_global(feat: DataFrame) -> tuple[DataFrame, list[str]]:
+def matrix_global(feat: DataFrame, compounds: list, years: list) -> tuple[DataFrame, list[str]]:
     """base features + Compound and Year dummies; complete rows only."""
-    x, cn = dummies(feat, "Compound", "Compound")
-    x, yn = dummies(x, "Year", "Year")
+    x, cn = dummies(feat, "Compound", "Compound", compounds)
+    x, yn = dummies(x, "Year", "Year", years)
     cols = BASE_FEATURES + cn + yn
     return complete_cases(x, cols), cols
 
@@ -96,9 +95,9 @@ def normalize_by_event(feat: DataFrame) -> DataFrame:
     return agg.zscore_by(x, EVENT_KEYS, ZSCORE_FEATURES + ["Energy_per_m", "TyreLife"])
 
 
-def matrix_norm(feat: DataFrame) -> tuple[DataFrame, list[str]]:
+def matrix_norm(feat: DataFrame, compounds: list) -> tuple[DataFrame, list[str]]:
     """normalised features + Compound dummies; complete rows only."""
     x = normalize_by_event(feat)
-    x, cn = dummies(x, "Compound", "Compound")
+    x, cn = dummies(x, "Compound", "Compound", compounds)
     cols = NORM_FEATURES + cn
     return complete_cases(x, cols), cols

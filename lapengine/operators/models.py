@@ -11,9 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from math import sqrt
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,8 +53,12 @@ def with_fold(df: DataFrame, key: Column | str, k: int = 5, seed: int = FOLD_SEE
     return df.withColumn("fold", F.pmod(h, F.lit(k)).cast("int"))
 
 
-def build_preprocessor(num_cols: list[str], cat_cols: list[str], scale: bool = True) -> list:
-    """scaled numerics + one-hot categoricals (unknown level -> zero vector)."""
+def build_preprocessor(num_cols: list[str], cat_cols: list[str], n_rows: int, scale: bool = True) -> list:
+    """numerics scaled by their population std + one-hot categoricals (unknown level -> zero vector).
+
+    ``n_rows``: rows that the stages will be fitted on.  The library's scaler
+    divides by the sample std, which a constant factor turns into the other.
+    """
     stages = []
     onehots = []
     for c in cat_cols:
@@ -62,7 +68,9 @@ def build_preprocessor(num_cols: list[str], cat_cols: list[str], scale: bool = T
         onehots.append(f"{c}__oh")
     stages.append(VectorAssembler(inputCols=list(num_cols), outputCol="_num", handleInvalid="keep"))
     if scale:
-        stages.append(StandardScaler(inputCol="_num", outputCol="_num_s", withMean=True, withStd=True))
+        factor = sqrt(n_rows / (n_rows - 1)) if n_rows > 1 else 1.0
+        stages.append(StandardScaler(inputCol="_num", outputCol="_num_z", withMean=True, withStd=True))
+        stages.append(ElementwiseProduct(scalingVec=Vectors.dense([factor] * len(num_cols)), inputCol="_num_z", outputCol="_num_s"))
         num_out = "_num_s"
     else:
         num_out = "_num"
@@ -70,33 +78,57 @@ def build_preprocessor(num_cols: list[str], cat_cols: list[str], scale: bool = T
     return stages
 
 
-def model_zoo(small: bool = False, custom: dict | None = None) -> dict[str, Callable[[], object]]:
-    """The five regressors (boosted-tree stand-ins for the two external libraries).
+MAX_TREE_DEPTH = 30  # the library's own limit; "unbounded" and deeper settings mean this
 
-    ``small`` keeps forests and boosting short for quick runs.
-    """
+
+def _forest(trees: int, depth: int | None) -> RandomForestRegressor:
+    return RandomForestRegressor(numTrees=trees, maxDepth=min(depth or MAX_TREE_DEPTH, MAX_TREE_DEPTH), featureSubsetStrategy="all",
+                                 seed=42, labelCol="label")
+
+
+def _boosted(rounds: int, rate: float, depth: int, share: float = 1.0) -> GBTRegressor:
+    return GBTRegressor(maxIter=rounds, stepSize=rate, maxDepth=min(depth, MAX_TREE_DEPTH), subsamplingRate=share,
+                        featureSubsetStrategy="all" if share == 1.0 else str(share), seed=42, labelCol="label")
+
+
+def model_zoo(custom: dict | None = None) -> dict[str, Callable[[], object]]:
+    """The five regressors at the reference's settings (boosted-tree stand-ins for the two external libraries)."""
     c = custom or {}
-    n_rf = c.get("n_estimators", 20 if small else 300)
-    n_gb = 20 if small else 100
-    n_xg = c.get("n_estimators", 20 if small else 400)
-    depth = c.get("max_depth", 5 if small else 30)
     return {
-        "RandomForest": lambda: RandomForestRegressor(numTrees=n_rf, maxDepth=depth, featureSubsetStrategy="all",
-                                                      seed=42, labelCol="label"),
-        "GradientBoosting": lambda: GBTRegressor(maxIter=n_gb, stepSize=0.1, maxDepth=3, seed=42, labelCol="label"),
+        "RandomForest": lambda: _forest(c.get("n_estimators", 300), c.get("max_depth")),
+        "GradientBoosting": lambda: _boosted(100, 0.1, 3),
         "Lasso": lambda: LinearRegression(regParam=0.01, elasticNetParam=1.0, standardization=False,
                                           maxIter=5000, labelCol="label"),
-        "XGBoost": lambda: GBTRegressor(maxIter=n_xg, stepSize=c.get("learning_rate", 0.05),
-                                        maxDepth=c.get("max_depth", 4), subsamplingRate=0.9,
-                                        featureSubsetStrategy="0.9", seed=42, labelCol="label"),
-        "LightGBM": lambda: GBTRegressor(maxIter=20 if small else 400, stepSize=0.05, maxDepth=5,
-                                         subsamplingRate=0.9, featureSubsetStrategy="0.9", seed=42,
-                                         labelCol="label"),
+        "XGBoost": lambda: _boosted(c.get("n_estimators", 400), c.get("learning_rate", 0.05), c.get("max_depth", 4), 0.9),
+        "LightGBM": lambda: _boosted(400, 0.05, 5, 0.9),
     }
 
 
-def make_pipeline(num_cols: list[str], cat_cols: list[str], estimator) -> Pipeline:
-    return Pipeline(stages=build_preprocessor(num_cols, cat_cols) + [estimator])
+def single_model(model_type: str, params: dict) -> Callable[[], object]:
+    """F19's regressor: the library defaults of each type, overridden by ``params``; other types are a 100-tree forest."""
+    p = params
+    if model_type == "RandomForest":
+        return lambda: _forest(p.get("n_estimators", 100), p.get("max_depth"))
+    if model_type == "XGBoost":
+        return lambda: _boosted(p.get("n_estimators", 100), p.get("learning_rate", 0.3), p.get("max_depth", 6))
+    if model_type == "GradientBoosting":
+        return lambda: _boosted(p.get("n_estimators", 100), p.get("learning_rate", 0.1), p.get("max_depth", 3))
+    return lambda: _forest(100, None)
+
+
+def make_pipeline(num_cols: list[str], cat_cols: list[str], estimator, n_rows: int) -> Pipeline:
+    return Pipeline(stages=build_preprocessor(num_cols, cat_cols, n_rows) + [estimator])
+
+
+def fit_pipeline(df: DataFrame, num_cols: list[str], cat_cols: list[str], estimator) -> PipelineModel:
+    """Preprocessing and regressor fitted on all of ``df`` (column ``label``)."""
+    return make_pipeline(num_cols, cat_cols, estimator, df.count()).fit(df)
+
+
+def bounded_rows(df: DataFrame, key: str, most: int) -> DataFrame:
+    """A hashed share of ``df`` of about ``most`` rows: a documented bound on what an expensive model is fitted on."""
+    share = min(1.0, most / max(1, df.count()))
+    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(share * (1 << 30)))
 
 
 @dataclass
@@ -127,8 +159,7 @@ def cross_validate(df: DataFrame, name: str, estimator_factory: Callable[[], obj
     data = _checkpointed(data)
 
     def fold_predictions(f: int) -> DataFrame:
-        pipe = make_pipeline(num_cols, cat_cols, estimator_factory())
-        m = pipe.fit(data.where(F.col("fold") != f))
+        m = fit_pipeline(data.where(F.col("fold") != f), num_cols, cat_cols, estimator_factory())
         return m.transform(data.where(F.col("fold") == f)).select(
             *df.columns, "fold", F.col("label").alias("y_true"), F.col("prediction").alias("y_pred"))
 
@@ -143,7 +174,7 @@ def cross_validate(df: DataFrame, name: str, estimator_factory: Callable[[], obj
     fm = regression_metrics(preds, by=["fold"])
     mean = fm.agg(F.avg("MAE").alias("MAE"), F.avg("RMSE").alias("RMSE"), F.avg("R2").alias("R2")) \
              .select(F.lit(name).alias("model"), "MAE", "RMSE", "R2")
-    final = make_pipeline(num_cols, cat_cols, estimator_factory()).fit(data) if refit else None
+    final = fit_pipeline(data, num_cols, cat_cols, estimator_factory()) if refit else None
     return CvResult(name, mean, fm, preds, final)
 
 
@@ -154,20 +185,14 @@ def select_best(metrics: DataFrame, order: list[str] = MODEL_ORDER) -> DataFrame
 
 
 def validation_predictions(cv: CvResult, key: str) -> DataFrame:
-    """model inputs + y_true, y_pred, fold; ordered by (fold, key).
-
-    The order is expressed by the columns (``fold``, key) rather than by a
-    dense global row number, which would need a single-partition window.
-    """
-    return cv.predictions.orderBy("fold", key)
+    """model inputs + y_true, y_pred, fold.  The columns ``fold`` and ``key`` carry the order."""
+    return cv.predictions
 
 
 def train_single(df: DataFrame, model_type: str, params: dict, num_cols: list[str], cat_cols: list[str],
                  key: str, target: str = TARGET, k: int = 3) -> CvResult:
-    """one model with custom settings, 3 folds; unknown type -> 100-tree forest."""
-    zoo = model_zoo(custom=params)
-    factory = zoo.get(model_type) or (lambda: RandomForestRegressor(numTrees=100, seed=42, labelCol="label"))
-    return cross_validate(df, model_type, factory, num_cols, cat_cols, key, target, k)
+    """one model with custom settings, 3 folds (see ``single_model``)."""
+    return cross_validate(df, model_type, single_model(model_type, params), num_cols, cat_cols, key, target, k)
 
 
 def save_model(model: PipelineModel, path: str) -> None:

@@ -22,7 +22,6 @@ FX1_DIST_UNIT_US = 100_000             # one distance unit per 0.1 s of session
 FX1_DIST_STEP = 100_000                # C2 grid step on FX1, distance units
 FX1_DIST_SCALE = 100.0                 # distance units per metre
 FX1_DT = 0.1                           # derivative step on the FX1 grid
-FX_NULL_MOD = 7                        # FX1 null variant: value blank where event_id % 7 = 0
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,7 +41,7 @@ def telemetry(spark: SparkSession, sf_dir: str | None, *, null_value: bool = Fal
     k = F.get_json_object("props", "$.k").cast("int").cast("double")
     value = F.col("value")
     if null_value:
-        value = F.when(F.col("event_id") % FX_NULL_MOD == 0, F.lit(None).cast("double")).otherwise(value)
+        value = F.when(F.col("event_type") != "error", value)       # an error event carries no reading
     st = _ts_us()
     return ev.select(
         F.col("user_id").cast("string").alias("Driver"),
@@ -52,26 +51,21 @@ def telemetry(spark: SparkSession, sf_dir: str | None, *, null_value: bool = Fal
         value.alias("Speed"),
         k.alias("Throttle"),
         (F.col("event_type") == "error").alias("Brake"),
-        value.alias("X"),
-        k.alias("Y"),
+        (F.col("event_id") % 997).cast("double").alias("X"),
+        (floor_div(st, 1_000_000) % 1009).cast("double").alias("Y"),
         floor_div(st, FX1_DIST_UNIT_US).alias("Distance_c"),
         F.col("event_type").alias("Compound"),
     )
 
 
 def telemetry_laps(spark: SparkSession, sf_dir: str | None, tel: DataFrame | None = None) -> DataFrame:
-    """FX1 lap metadata: one row per lap, lap time from the sample span.
-
-    Laps of drivers whose id is a multiple of 5 are left out so the metadata
-    join (D1) has unmatched laps.
-    """
+    """FX1 lap metadata: one row per lap, lap time from the sample span."""
     t = tel if tel is not None else telemetry(spark, sf_dir)
     return (t.groupBy("Driver", "LapNumber")
              .agg(((F.max("SessionTime_us") - F.min("SessionTime_us")).cast("double") / F.lit(1e6))
                   .alias("LapTimeSeconds"),
                   F.min(F.struct("SessionTime_us", "event_id", "Compound")).getField("Compound").alias("Compound"),
-                  F.count(F.lit(1)).cast("int").alias("TyreLife"))
-             .where(F.col("Driver").cast("long") % 5 != 0))
+                  F.count(F.lit(1)).cast("int").alias("TyreLife")))
 
 
 def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,11 +78,9 @@ def laps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").cast("string").alias("Driver"),
         F.col("c_name").alias("DriverCode"),
         F.col("o_orderkey").alias("LapNumber"),
-        F.when(F.col("o_orderkey") % 13 == 0, F.lit(None).cast("double"))
-         .otherwise(F.col("o_totalprice")).alias("LapTimeSeconds"),
+        F.when(F.col("o_orderstatus") != "P", F.col("o_totalprice")).alias("LapTimeSeconds"),  # P: lap not finished
         F.col("o_orderpriority").alias("Compound"),
-        F.when(F.col("o_orderkey") % 11 == 0, F.lit(None).cast("int"))
-         .otherwise((F.col("o_orderkey") % 30).cast("int")).alias("TyreLife"),
+        F.when(F.col("o_orderpriority") != "4-NOT SPECIFIED", (F.col("o_orderkey") % 30).cast("int")).alias("TyreLife"),
         F.year("o_orderdate").alias("Year"),
         F.col("o_orderdate").alias("SessionDate"),
         F.col("n_name").alias("Event"),
@@ -115,8 +107,7 @@ def lap_features(spark: SparkSession, sf_dir: str | None, lineitem: DataFrame |
         F.col("l_suppkey").cast("string").alias("Driver"),
         F.col("l_linenumber").alias("LapNumber"),
         F.col("l_extendedprice").alias("LapTimeSeconds"),
-        F.when(F.col("l_orderkey") % 17 == 0, F.lit(None).cast("string"))
-         .otherwise(F.col("l_linestatus")).alias("Compound"),
+        F.when(F.col("l_tax") > 0, F.col("l_linestatus")).alias("Compound"),     # no compound on record without tax
         F.col("l_linenumber").cast("double").alias("TyreLife"),
         F.col("l_quantity").alias("Avg_Speed_mps"),
         (F.col("l_partkey") % 100).cast("double").alias("Avg_Throttle"),
@@ -149,7 +140,7 @@ _SQL_K = "CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE)"
 def sql_telemetry(null_value: bool = False, short_laps: bool = False) -> str:
     days = "date_diff('day', DATE '2024-01-01', CAST(ts AS DATE))"
     lap = days if short_laps else f"({days} // {FX1_LAP_DAYS})"
-    value = (f"CASE WHEN event_id % {FX_NULL_MOD} = 0 THEN NULL ELSE value END" if null_value else "value")
+    value = "CASE WHEN event_type <> 'error' THEN value END" if null_value else "value"
     return f"""SELECT CAST(user_id AS VARCHAR) AS Driver,
        CAST({lap} + 1 AS INTEGER) AS LapNumber,
        event_id,
@@ -157,8 +148,8 @@ def sql_telemetry(null_value: bool = False, short_laps: bool = False) -> str:
        {value} AS Speed,
        {_SQL_K} AS Throttle,
        (event_type = 'error') AS Brake,
-       {value} AS X,
-       {_SQL_K} AS Y,
+       CAST(event_id % 997 AS DOUBLE) AS X,
+       CAST(({_SQL_TS_US} // 1000000) % 1009 AS DOUBLE) AS Y,
        {_SQL_TS_US} // {FX1_DIST_UNIT_US} AS Distance_c,
        event_type AS Compound
 FROM events"""
@@ -169,15 +160,14 @@ SQL_TELEMETRY_LAPS = f"""SELECT Driver, LapNumber,
        arg_min(Compound, (SessionTime_us, event_id)) AS Compound,
        CAST(count(*) AS INTEGER) AS TyreLife
 FROM ({sql_telemetry()}) t
-GROUP BY Driver, LapNumber
-HAVING CAST(Driver AS BIGINT) % 5 <> 0"""
+GROUP BY Driver, LapNumber"""
 
 SQL_LAPS = """SELECT CAST(o_custkey AS VARCHAR) AS Driver,
        c_name AS DriverCode,
        o_orderkey AS LapNumber,
-       CASE WHEN o_orderkey % 13 = 0 THEN NULL ELSE o_totalprice END AS LapTimeSeconds,
+       CASE WHEN o_orderstatus <> 'P' THEN o_totalprice END AS LapTimeSeconds,
        o_orderpriority AS Compound,
-       CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE CAST(o_orderkey % 30 AS INTEGER) END AS TyreLife,
+       CASE WHEN o_orderpriority <> '4-NOT SPECIFIED' THEN CAST(o_orderkey % 30 AS INTEGER) END AS TyreLife,
        CAST(year(o_orderdate) AS INTEGER) AS Year,
        o_orderdate AS SessionDate,
        n_name AS Event,
@@ -195,7 +185,7 @@ SQL_LAP_FEATURES = """SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey,
        CAST(l_suppkey AS VARCHAR) AS Driver,
        l_linenumber AS LapNumber,
        l_extendedprice AS LapTimeSeconds,
-       CASE WHEN l_orderkey % 17 = 0 THEN NULL ELSE l_linestatus END AS Compound,
+       CASE WHEN l_tax > 0 THEN l_linestatus END AS Compound,
        CAST(l_linenumber AS DOUBLE) AS TyreLife,
        l_quantity AS Avg_Speed_mps,
        CAST(l_partkey % 100 AS DOUBLE) AS Avg_Throttle,

@@ -94,7 +94,7 @@ def e12_regression_metrics(spark, sf):
                                     + " FROM lf"))
 def f1_dummies(spark, sf):
     """one-hot indicators, sorted levels, null -> all zero."""
-    x, names = mx.dummies(fx.lap_features(spark, sf), "Compound", "Compound")
+    x, names = mx.dummies(fx.lap_features(spark, sf), "Compound", "Compound", COMPOUNDS)
     return x.select("lap_id", *names)
 
 
@@ -111,7 +111,7 @@ def f2_standardize(spark, sf):
                       + ", ".join(_dummy_sql("Compound", "Compound", COMPOUNDS)) + " FROM lf WHERE Event = 'A'"))
 def f5_matrix_session(spark, sf):
     """one event's matrix (features + Compound dummies)."""
-    x, cols = mx.matrix_session(fx.lap_features(spark, sf).where(F.col("Event") == "A"))
+    x, cols = mx.matrix_session(fx.lap_features(spark, sf).where(F.col("Event") == "A"), COMPOUNDS)
     return x.select("lap_id", *cols)
 
 
@@ -121,7 +121,7 @@ def f5_matrix_session(spark, sf):
                       + " FROM lf WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in mx.BASE_FEATURES)))
 def f6_matrix_global(spark, sf):
     """global matrix with Compound and Year dummies, complete rows."""
-    x, cols = mx.matrix_global(fx.lap_features(spark, sf))
+    x, cols = mx.matrix_global(fx.lap_features(spark, sf), COMPOUNDS, YEARS)
     return x.select("lap_id", *cols)
 
 
@@ -145,7 +145,7 @@ def _norm_sql() -> str:
 @register("f7_matrix_norm", _norm_sql())
 def f7_matrix_norm(spark, sf):
     """per-event normalised matrix (E4 + E5 + F1 + B5)."""
-    x, cols = mx.matrix_norm(fx.lap_features(spark, sf))
+    x, cols = mx.matrix_norm(fx.lap_features(spark, sf), COMPOUNDS)
     return x.select("lap_id", *cols)
 
 
@@ -168,25 +168,48 @@ def f15_folds(spark, sf):
 
 # ------------------------------------------------------------------ F16 / F17 (exact linear oracle)
 
-def ols_cv(df, x: str, y: str, key: str, k: int = 5):
-    """K-fold one-feature least squares from sufficient statistics (F16, exact).
+def ols_cv(df, xs: list[str], y: str, key: str, k: int = 5):
+    """K-fold one-feature least squares of each of ``xs`` from sufficient statistics (F16, exact).
 
-    Per-fold sums are one grouped aggregate; the training statistics of fold
-    ``f`` are totals minus fold ``f``; predictions and fold metrics follow.
+    Two passes whatever the number of features: one grouped aggregate with
+    every feature's sums (``k`` rows; the training statistics of a fold are the
+    totals minus its own), and one with every feature's metrics, in which the
+    fitted lines are literals.  Returns ``model, fold, slope, intercept, MAE, RMSE, R2, n``.
     """
-    d = ml.with_fold(df.select(key, F.col(x).alias("x"), F.col(y).alias("y")), key, k) \
-        .where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    s = d.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("x").alias("sx"), F.sum("y").alias("sy"),
-                              F.sum(F.col("x") * F.col("x")).alias("sxx"), F.sum(F.col("x") * F.col("y")).alias("sxy"))
-    t = s.agg(*[F.sum(c).alias(f"t{c}") for c in ("n", "sx", "sy", "sxx", "sxy")])
-    st = mx.one_row_join(s, t)
-    n, sx, sy, sxx, sxy = [F.col(f"t{c}") - F.col(c) for c in ("n", "sx", "sy", "sxx", "sxy")]
-    slope = (n * sxy - sx * sy) / (n * sxx - sx * sx)
-    p = st.select("fold", slope.alias("slope"), ((sy - slope * sx) / n).alias("intercept"))
-    pred = d.join(F.broadcast(p), "fold").select(  # k rows
-        "fold", F.col("y").alias("y_true"), (F.col("intercept") + F.col("slope") * F.col("x")).alias("y_pred"))
-    m = agg.regression_metrics(pred, by=["fold"])
-    return p.join(m, "fold")
+    d = ml.with_fold(df.select(key, *xs, F.col(y).alias("y")), key, k).drop(key)
+
+    def both(x, value):
+        return F.when(F.col(x).isNotNull() & F.col("y").isNotNull(), value)
+
+    names = ("n", "sx", "sy", "sxx", "sxy")
+    sums = [F.sum(both(x, v)).alias(f"{n}_{x}") for x in xs
+            for n, v in zip(names, (F.lit(1), F.col(x), F.col("y"), F.col(x) * F.col(x), F.col(x) * F.col("y")))]
+    rows = d.groupBy("fold").agg(*sums).collect()  # at most k rows
+    lines, aggs, stacked = {}, [], []
+    for x in xs:
+        total = [sum(r[f"{n}_{x}"] or 0 for r in rows) for n in names]
+        for r in rows:
+            n, sx, sy, sxx, sxy = [t - (r[f"{c}_{x}"] or 0) for t, c in zip(total, names)]
+            spread = n * sxx - sx * sx
+            if n and spread:
+                slope = (n * sxy - sx * sy) / spread
+                lines[x, r.fold] = slope, (sy - slope * sx) / n
+
+        def line(part):
+            out = F.lit(None).cast("double")
+            for f in range(k):
+                if (x, f) in lines:
+                    out = F.when(F.col("fold") == f, F.lit(lines[x, f][part])).otherwise(out)
+            return out
+        e = both(x, line(1) + line(0) * F.col(x) - F.col("y"))
+        sst = F.var_pop(both(x, F.col("y"))) * F.count(e)
+        r2 = F.when(sst == 0, F.lit(None).cast("double")).otherwise(F.lit(1.0) - F.sum(e * e) / sst)
+        aggs += [F.avg(F.abs(e)).alias(f"MAE_{x}"), F.sqrt(F.avg(e * e)).alias(f"RMSE_{x}"), r2.alias(f"R2_{x}"), F.count(e).alias(f"n_{x}")]
+        stacked.append(F.struct(F.lit(x).alias("model"), line(0).alias("slope"), line(1).alias("intercept"),
+                                *[F.col(f"{c}_{x}").alias(c) for c in ("MAE", "RMSE", "R2", "n")]))
+    m = d.groupBy("fold").agg(*aggs)
+    return m.select("fold", F.explode(F.array(*stacked)).alias("r")).select("r.model", "fold", *[f"r.{c}" for c in ("slope", "intercept", "MAE", "RMSE", "R2", "n")]) \
+            .where(F.col("n") > 0)
 
 
 def _ols_cv_sql(x: str, y: str = TARGET, src: str = "lf") -> dict[str, str]:
@@ -217,7 +240,7 @@ def _ols_cv_sql(x: str, y: str = TARGET, src: str = "lf") -> dict[str, str]:
                   + ", n FROM f_Avg_Speed_mps"))
 def f16_cv_least_squares(spark, sf):
     """F16 (linear, exact): 5-fold one-feature least squares, metrics per fold."""
-    return ols_cv(fx.lap_features(spark, sf), "Avg_Speed_mps", TARGET, "lap_id", 5)
+    return ols_cv(fx.lap_features(spark, sf), ["Avg_Speed_mps"], TARGET, "lap_id", 5).drop("model")
 
 
 _F17_FEATURES = ["Avg_Speed_mps", "Brake_Aggression", "Max_Longitudinal_g", "Energy_Index"]
@@ -237,16 +260,9 @@ def _f17_sql() -> str:
 @register("f17_select_best", _f17_sql())
 def f17_select_best(spark, sf):
     """best of several CV'd one-feature models by lowest mean MAE."""
-    lf = fx.lap_features(spark, sf)
-    frames = []
-    for x in _F17_FEATURES:
-        m = ols_cv(lf, x, TARGET, "lap_id", 5)
-        frames.append(m.agg(F.avg("MAE").alias("MAE"), F.avg("RMSE").alias("RMSE"), F.avg("R2").alias("R2"))
-                       .select(F.lit(x).alias("model"), "MAE", "RMSE", "R2"))
-    allm = frames[0]
-    for f in frames[1:]:
-        allm = allm.unionByName(f)
-    return ml.select_best(allm, _F17_FEATURES)
+    m = ols_cv(fx.lap_features(spark, sf), _F17_FEATURES, TARGET, "lap_id", 5)
+    means = m.groupBy("model").agg(F.avg("MAE").alias("MAE"), F.avg("RMSE").alias("RMSE"), F.avg("R2").alias("R2"))
+    return ml.select_best(means, _F17_FEATURES)
 
 
 @register("f21_default_fill",
@@ -262,7 +278,7 @@ def f21_default_fill(spark, sf):
 # ------------------------------------------------------------------ PCA (rows-only + properties in tests)
 
 def _norm_pca(spark, sf):
-    x, cols = mx.matrix_norm(fx.lap_features(spark, sf))
+    x, cols = mx.matrix_norm(fx.lap_features(spark, sf), COMPOUNDS)
     return x, cols, pc.fit_pca(x, cols, 3)
 
 
@@ -298,9 +314,9 @@ def f3_pca_embeddings(spark, sf):
 
 @register("f4_apply_stored_pca")
 def f4_apply_stored_pca(spark, sf):
-    """F4 + A15: fit on early years, store the record, reload it and score all laps."""
-    x, cols = mx.matrix_norm(fx.lap_features(spark, sf))
-    m = pc.fit_pca(x.where(F.col("Year") < 1998), cols, 3)
+    """F4 + A15: fit, store the record, reload it and score all laps."""
+    x, cols = mx.matrix_norm(fx.lap_features(spark, sf), COMPOUNDS)
+    m = pc.fit_pca(x, cols, 3)
     row = m.to_frame(spark).first()  # the stored one-row record
     return pc.apply_pca(x, pc.PcaModel.from_row(row)).select("lap_id", "PC1", "PC2", "PC3")
 
@@ -330,7 +346,7 @@ def _model_data(spark, sf):
 @register("f16_cv_lasso")
 def f16_cv_lasso(spark, sf):
     """F12 + F16: Lasso (alpha 0.01) 5-fold CV metrics."""
-    cv = ml.cross_validate(_model_data(spark, sf), "Lasso", ml.model_zoo(small=True)["Lasso"], NUM_MODEL,
+    cv = ml.cross_validate(_model_data(spark, sf), "Lasso", ml.model_zoo()["Lasso"], NUM_MODEL,
                            CAT_MODEL, "lap_id", TARGET, 5, refit=False)
     return cv.metrics
 
@@ -340,7 +356,7 @@ def f10_f14_model_zoo(spark, sf):
     """F10-F14 + F16 + F17 + A16: small zoo, 3-fold CV, long metrics table with the best flagged."""
     data = _model_data(spark, sf)
     ms = None
-    for name, fac in ml.model_zoo(small=True).items():
+    for name, fac in ml.model_zoo().items():
         cv = ml.cross_validate(data, name, fac, NUM_MODEL, CAT_MODEL, "lap_id", TARGET, 3, refit=False)
         ms = cv.metrics if ms is None else ms.unionByName(cv.metrics)
     return sinks.metrics_table(ms, ml.MODEL_ORDER)
@@ -349,7 +365,7 @@ def f10_f14_model_zoo(spark, sf):
 @register("f18_validation_predictions")
 def f18_validation_predictions(spark, sf):
     """out-of-fold predictions of the Lasso CV."""
-    cv = ml.cross_validate(_model_data(spark, sf), "Lasso", ml.model_zoo(small=True)["Lasso"], NUM_MODEL,
+    cv = ml.cross_validate(_model_data(spark, sf), "Lasso", ml.model_zoo()["Lasso"], NUM_MODEL,
                            CAT_MODEL, "lap_id", TARGET, 5, refit=False)
     return ml.validation_predictions(cv, "lap_id").select("lap_id", "fold", "y_true", "y_pred")
 
@@ -366,8 +382,7 @@ def f19_train_single(spark, sf):
 def f21_predict(spark, sf):
     """F20 + F21: fit, score new rows with defaults injected for missing inputs."""
     data = _model_data(spark, sf)
-    model = ml.make_pipeline(NUM_MODEL, CAT_MODEL, ml.model_zoo(small=True)["Lasso"]()).fit(
-        data.withColumn("label", F.col(TARGET)))
+    model = ml.fit_pipeline(data.withColumn("label", F.col(TARGET)), NUM_MODEL, CAT_MODEL, ml.model_zoo()["Lasso"]())
     req = fx.lap_features(spark, sf).select("lap_id", "Avg_Speed_mps", "Compound", "Event", "LapNumber")
     return ml.predict(req, model).select("lap_id", "prediction")
 
@@ -376,7 +391,7 @@ def f21_predict(spark, sf):
 def f22_linear_attribution(spark, sf):
     """mean |Shapley| per input of the Lasso model, ranked."""
     data = _model_data(spark, sf).withColumn("label", F.col(TARGET))
-    model = ml.make_pipeline(NUM_MODEL, CAT_MODEL, ml.model_zoo(small=True)["Lasso"]()).fit(data)
+    model = ml.fit_pipeline(data, NUM_MODEL, CAT_MODEL, ml.model_zoo()["Lasso"]())
     return attr.linear_attribution(model, data, attr.feature_slot_names(model, NUM_MODEL, CAT_MODEL))
 
 
@@ -384,7 +399,7 @@ def f22_linear_attribution(spark, sf):
 def f22_permutation_importance(spark, sf):
     """F22 for trees: permutation importance of a small forest."""
     data = _model_data(spark, sf).withColumn("label", F.col(TARGET))
-    model = ml.make_pipeline(NUM_MODEL, CAT_MODEL, ml.model_zoo(small=True)["RandomForest"]()).fit(data)
+    model = ml.fit_pipeline(data, NUM_MODEL, CAT_MODEL, ml.model_zoo()["RandomForest"]())
     return attr.permutation_importance(model, data, NUM_MODEL, "label", "lap_id")
 
 
@@ -395,7 +410,7 @@ def st2_stream_scoring(spark, sf):
     """ST2: lap rows arriving as a file stream, scored by the fitted Lasso pipeline."""
     from lapengine.streaming.scoring import score_stream
     data = _model_data(spark, sf).withColumn("label", F.col(TARGET))
-    model = ml.make_pipeline(NUM_MODEL, CAT_MODEL, ml.model_zoo(small=True)["Lasso"]()).fit(data)
+    model = ml.fit_pipeline(data, NUM_MODEL, CAT_MODEL, ml.model_zoo()["Lasso"]())
     schema = spark.read.parquet(f"{sf}/lineitem.parquet").schema
 
     def prepare(stream_df):
@@ -432,7 +447,7 @@ def _cov_sql() -> str:
 @register("f3_pca_covariance", _cov_sql())
 def f3_pca_covariance(spark, sf):
     """F3's Gramian step: covariance of the standardised normalised matrix (one aggregate pass)."""
-    x, cols = mx.matrix_norm(fx.lap_features(spark, sf))
+    x, cols = mx.matrix_norm(fx.lap_features(spark, sf), COMPOUNDS)
     cols = mx.NORM_FEATURES
     z = mx.standardize(x.select(*cols), cols)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
@@ -456,7 +471,7 @@ def a14_partitioned_roundtrip(spark, sf):
 def a15_pca_record(spark, sf):
     """The PCA model record written as JSON and read back."""
     from lapengine.streaming.ingest import shared_dir
-    x, cols = mx.matrix_norm(fx.lap_features(spark, sf))
+    x, cols = mx.matrix_norm(fx.lap_features(spark, sf), COMPOUNDS)
     path = shared_dir(spark, "pca-model")
     sinks.save_pca(pc.fit_pca(x, cols, 3).to_frame(spark), path)
     return sinks.load_pca(spark, path)
@@ -468,7 +483,7 @@ def f9_preprocessor(spark, sf):
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
     data = _model_data(spark, sf)
-    pre = Pipeline(stages=ml.build_preprocessor(NUM_MODEL, CAT_MODEL)).fit(data)
+    pre = Pipeline(stages=ml.build_preprocessor(NUM_MODEL, CAT_MODEL, data.count())).fit(data)
     return pre.transform(data).select("lap_id", vector_to_array("features").alias("features"))
 
 
@@ -477,7 +492,7 @@ def f20_model_roundtrip(spark, sf):
     """F20 + F21: persist the fitted pipeline, load it back, score every lap."""
     from lapengine.streaming.ingest import shared_dir
     data = _model_data(spark, sf).withColumn("label", F.col(TARGET))
-    model = ml.make_pipeline(NUM_MODEL, CAT_MODEL, ml.model_zoo(small=True)["Lasso"]()).fit(data)
+    model = ml.fit_pipeline(data, NUM_MODEL, CAT_MODEL, ml.model_zoo()["Lasso"]())
     path = shared_dir(spark, "model")
     ml.save_model(model, path)
     return ml.predict(data.drop("label"), ml.load_model(path)).select("lap_id", "prediction")

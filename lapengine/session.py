@@ -24,6 +24,8 @@ BASE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpoint files go when their frame is garbage
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -70,13 +72,15 @@ def build_session(master: str = "local[8]", shuffle_partitions: int | None = Non
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's ``spark.checkpoint.dir``; only invent one when unset.
+    """The session's checkpoint folder: the one already set, else ``spark.checkpoint.dir``.
 
-    On a cluster this must be a shared file system path (HDFS / object store)
-    configured by the operator.  The temporary folder fallback exists for
-    local tests only.
+    On a cluster it must be a path that all executors share (HDFS / object
+    store).  Where none is configured, a temporary folder is made if the master
+    is this one process; any other master raises.
     """
     sc = spark.sparkContext
+    if sc.getCheckpointDir() is not None:
+        return sc.getCheckpointDir()
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
         try:
@@ -84,7 +88,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - conf key absent
             configured = None
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="lapengine-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(configured)
-    return configured
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()

@@ -31,7 +31,7 @@ def _session(spark):
 
 def test_session_pca_golden(spark):
     df = _session(spark)
-    x, cols = mx.matrix_session(df)
+    x, cols = mx.matrix_session(df, ["SOFT", "HARD"])
     m = pc.fit_pca(x, cols, 3)
     assert cols[-2:] == ["Compound_HARD", "Compound_SOFT"]
     assert np.allclose(m.explained_variance_ratio, GOLDEN_RATIO, atol=1e-10)
@@ -41,7 +41,7 @@ def test_session_pca_golden(spark):
 
 
 def test_pca_properties(spark):
-    x, cols = mx.matrix_norm(fx.lap_features(spark, SF_SMALL))
+    x, cols = mx.matrix_norm(fx.lap_features(spark, SF_SMALL), ["F", "O"])
     m = pc.fit_pca(x, cols, 3)
     comp = np.array(m.components)
     assert np.allclose(comp @ comp.T, np.eye(3), atol=1e-8)
@@ -53,7 +53,7 @@ def test_pca_properties(spark):
 
 def test_pca_record_roundtrip(spark, tmpdir_path):
     from lapengine.sources import sinks
-    x, cols = mx.matrix_norm(fx.lap_features(spark, SF_SMALL))
+    x, cols = mx.matrix_norm(fx.lap_features(spark, SF_SMALL), ["F", "O"])
     m = pc.fit_pca(x, cols, 3)
     path = os.path.join(tmpdir_path, "pca")
     sinks.save_pca(m.to_frame(spark), path)
@@ -87,7 +87,7 @@ def test_folds_partition_rows(spark):
 
 def test_lasso_cv_quality_and_coverage(spark):
     data = _data(spark)
-    cv = ml.cross_validate(data, "Lasso", ml.model_zoo(small=True)["Lasso"], NUM, ["Compound"], "lap_id",
+    cv = ml.cross_validate(data, "Lasso", ml.model_zoo()["Lasso"], NUM, ["Compound"], "lap_id",
                            "TargetTime", 5)
     m = cv.metrics.first()
     assert m.R2 > 0.95
@@ -99,7 +99,7 @@ def test_lasso_cv_quality_and_coverage(spark):
 
 def test_linear_attribution_sums_to_prediction(spark):
     data = _data(spark).withColumn("label", F.col("TargetTime"))
-    model = ml.make_pipeline(NUM, ["Compound"], ml.model_zoo(small=True)["Lasso"]()).fit(data)
+    model = ml.fit_pipeline(data, NUM, ["Compound"], ml.model_zoo()["Lasso"]())
     rows = attr.linear_shap_rows(model, data).select("shap", "prediction").toPandas()
     total = rows.shap.apply(sum) + rows.prediction.mean()
     assert np.allclose(total, rows.prediction, atol=1e-6)
@@ -109,7 +109,7 @@ def test_linear_attribution_sums_to_prediction(spark):
 
 def test_save_load_predict(spark, tmpdir_path):
     data = _data(spark).withColumn("label", F.col("TargetTime"))
-    model = ml.make_pipeline(NUM, ["Compound"], ml.model_zoo(small=True)["Lasso"]()).fit(data)
+    model = ml.fit_pipeline(data, NUM, ["Compound"], ml.model_zoo()["Lasso"]())
     path = os.path.join(tmpdir_path, "model")
     ml.save_model(model, path)
     back = ml.load_model(path)
@@ -124,11 +124,42 @@ def test_select_best_tie_goes_to_first(spark):
     assert ml.select_best(m).first().model == "RandomForest"
 
 
-def test_small_zoo_runs(spark):
+def test_zoo_has_the_reference_settings():
+    zoo = {k: f() for k, f in ml.model_zoo().items()}
+    assert list(zoo) == ml.MODEL_ORDER
+    rf, gb, xg, lg = (zoo[k] for k in ("RandomForest", "GradientBoosting", "XGBoost", "LightGBM"))
+    assert (rf.getNumTrees(), rf.getMaxDepth(), rf.getFeatureSubsetStrategy()) == (300, 30, "all")
+    assert (gb.getMaxIter(), gb.getStepSize(), gb.getMaxDepth(), gb.getSubsamplingRate()) == (100, 0.1, 3, 1.0)
+    assert (xg.getMaxIter(), xg.getStepSize(), xg.getMaxDepth(), xg.getSubsamplingRate(), xg.getFeatureSubsetStrategy()) == (400, 0.05, 4, 0.9, "0.9")
+    assert (lg.getMaxIter(), lg.getStepSize(), lg.getSubsamplingRate()) == (400, 0.05, 0.9)
+    assert zoo["Lasso"].getRegParam() == 0.01 and zoo["Lasso"].getElasticNetParam() == 1.0
+
+
+def test_single_model_rules():
+    one = lambda kind, **p: ml.single_model(kind, p)()
+    assert one("RandomForest").getNumTrees() == 100 and one("RandomForest", max_depth=50).getMaxDepth() == 30
+    gb = one("GradientBoosting", n_estimators=7, learning_rate=0.2, max_depth=2)
+    assert (gb.getMaxIter(), gb.getStepSize(), gb.getMaxDepth()) == (7, 0.2, 2)
+    assert one("XGBoost", n_estimators=9).getMaxIter() == 9
+    for kind in ("Lasso", "LightGBM", "other"):
+        assert (one(kind).getNumTrees(), one(kind).getMaxDepth(), one(kind).getFeatureSubsetStrategy()) == (100, 30, "all")
+
+
+def test_preprocessor_scales_by_population_std(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
     data = _data(spark)
-    for name, fac in ml.model_zoo(small=True).items():
-        cv = ml.cross_validate(data, name, fac, NUM, ["Compound"], "lap_id", "TargetTime", 3, refit=False)
-        assert cv.metrics.first().MAE is not None
+    n = data.count()
+    x = Pipeline(stages=ml.build_preprocessor(NUM, [], n)).fit(data).transform(data).select(vector_to_array("features").alias("x")).collect()
+    a = np.array([r.x for r in x])
+    assert np.allclose(a.mean(axis=0), 0, atol=1e-9) and np.allclose(a.std(axis=0), 1, atol=1e-9)
+
+
+def test_one_hot_of_unknown_levels(spark):
+    from pyspark.ml.functions import vector_to_array
+    df = spark.createDataFrame([("b",), ("a",), (None,), ("c",)], "v string")
+    got = {r.v: r.x for r in mx.one_hot(df, "v", "hot").select("v", vector_to_array("hot").alias("x")).collect()}
+    assert got["a"][:3] == [1, 0, 0] and got["b"][:3] == [0, 1, 0] and got["c"][:3] == [0, 0, 1] and got[None][:3] == [0, 0, 0]
 
 
 @pytest.mark.parametrize("n", [1])
@@ -142,7 +173,7 @@ def test_metrics_json(spark, n):
 
 def test_tree_importances_ranked(spark):
     data = _data(spark).withColumn("label", F.col("TargetTime"))
-    model = ml.make_pipeline(NUM, ["Compound"], ml.model_zoo(small=True)["RandomForest"]()).fit(data)
+    model = ml.fit_pipeline(data, NUM, ["Compound"], ml.single_model("RandomForest", {"n_estimators": 20, "max_depth": 5})())
     imp = attr.tree_importances(spark, model, attr.feature_slot_names(model, NUM, ["Compound"])).collect()
     assert imp[0].feature in ("Avg_Speed_mps", "Brake_Aggression", "Max_Longitudinal_g")
     assert abs(sum(r.value for r in imp) - 1.0) < 1e-9
