@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from lapengine.operators import aggregates as agg
@@ -10,6 +11,7 @@ from lapengine.operators import compare
 from lapengine.operators import matrix as mx
 from lapengine.operators import models as ml
 from lapengine.operators import pca as pc
+from lapengine.operators.matrix import one_row
 from lapengine.plans import fixtures as fx
 from lapengine.plans import sqltext as q
 from lapengine.plans.registry import register
@@ -149,15 +151,6 @@ def f7_matrix_norm(spark, sf):
     return x.select("lap_id", *cols)
 
 
-@register("f8_model_dataset",
-          q.with_(LF, "SELECT lap_id, TargetTime, Compound, Event FROM lf WHERE "
-                      + " AND ".join(f"{c} IS NOT NULL" for c in NUM_MODEL + CAT_MODEL + [TARGET])))
-def f8_model_dataset(spark, sf):
-    """F8: complete model rows with the target split off."""
-    d = ml.model_dataset(fx.lap_features(spark, sf), NUM_MODEL + CAT_MODEL, TARGET)
-    return d.select("lap_id", "TargetTime", "Compound", "Event")
-
-
 @register("f15_folds",
           q.with_(LF, "SELECT lap_id, CAST(CAST('0x' || substr(md5('42:' || lap_id), 1, 8) AS BIGINT) % 5 AS INTEGER) "
                       "AS fold FROM lf"))
@@ -312,29 +305,80 @@ def f3_pca_embeddings(spark, sf):
     return pc.variance_frame(spark, pc.fit_pca(x, cols, 3))
 
 
-@register("f4_apply_stored_pca")
+# A stored model record with round numbers, so that scores can be written in SQL.
+STORED_PCA = pc.PcaModel(
+    feature_names=mx.NORM_FEATURES,
+    mean=[0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8],
+    scale=[1.0, 1.25, 1.5, 1.75, 2.0, 2.25, 2.5, 2.75, 3.0],
+    components=[[0.5, 0.25, 0.0, -0.25, -0.5, 0.125, 0.375, 0.625, -0.125],
+                [0.25, 0.5, 0.125, 0.0, 0.25, -0.5, -0.25, 0.375, 0.5],
+                [-0.125, 0.25, 0.5, 0.25, 0.0, 0.375, -0.5, 0.25, 0.125]],
+    explained_variance_ratio=[0.5, 0.25, 0.125], singular_values=[8.0, 4.0, 2.0], n_rows=0)
+
+
+def _pc_sql(i: int) -> str:
+    m = STORED_PCA
+    return " + ".join(f"({c} - {q.lit(a)}) / {q.lit(b)} * {q.lit(w)}" for c, a, b, w in zip(m.feature_names, m.mean, m.scale, m.components[i]))
+
+
+def _scores_ctes() -> dict[str, str]:
+    ctes, where = _norm_parts()
+    ctes["scores"] = "SELECT lap_id, " + ", ".join(f"{_pc_sql(i)} AS PC{i + 1}" for i in range(3)) + f" FROM z WHERE {where}"
+    return ctes
+
+
+_PCS = ", ".join(f"{R(f'PC{i}')} AS PC{i}" for i in (1, 2, 3))
+
+
+def _stored_scores(spark, sf):
+    """Scores of every complete lap by a record that has been written and read back."""
+    from lapengine.streaming.ingest import shared_dir
+    path = shared_dir(spark, "pca-model")
+    sinks.save_pca(STORED_PCA.to_frame(spark), path)
+    x, _ = mx.matrix_norm(fx.lap_features(spark, sf), COMPOUNDS)
+    return pc.apply_pca(x, pc.PcaModel.from_row(sinks.load_pca(spark, path).first()))
+
+
+@register("f4_apply_stored_pca", q.with_(_scores_ctes(), f"SELECT lap_id, {_PCS} FROM scores"))
 def f4_apply_stored_pca(spark, sf):
-    """F4 + A15: fit, store the record, reload it and score all laps."""
-    x, cols = mx.matrix_norm(fx.lap_features(spark, sf), COMPOUNDS)
-    m = pc.fit_pca(x, cols, 3)
-    row = m.to_frame(spark).first()  # the stored one-row record
-    return pc.apply_pca(x, pc.PcaModel.from_row(row)).select("lap_id", "PC1", "PC2", "PC3")
+    """F4 + A15: a stored record reloaded and applied to all laps."""
+    return _stored_scores(spark, sf).select("lap_id", "PC1", "PC2", "PC3")
 
 
-@register("d4_attach_scores")
+@register("d4_attach_scores", q.with_(_scores_ctes(), f"SELECT lap_id, Driver, {_PCS} FROM lf LEFT JOIN scores USING (lap_id)"))
 def d4_attach_scores(spark, sf):
     """PC scores joined to lap features by key (unmatched -> null)."""
-    x, _, m = _norm_pca(spark, sf)
-    scores = pc.apply_pca(x, m).select("lap_id", "PC1", "PC2", "PC3")
+    scores = _stored_scores(spark, sf).select("lap_id", "PC1", "PC2", "PC3")
     return compare.attach_scores(fx.lap_features(spark, sf).select("lap_id", "Driver"), scores, ["lap_id"])
 
 
-@register("e16_latent_view")
+@register("e16_latent_view",
+          q.with_({**_scores_ctes(), "s": "SELECT scores.*, Driver, lf.LapNumber, lf.Compound FROM scores JOIN lf USING (lap_id)",
+                   "first5": "SELECT DISTINCT Driver FROM s ORDER BY Driver LIMIT 5"},
+                  f"SELECT lap_id, LapNumber, Driver, {_PCS}, Compound FROM s SEMI JOIN first5 USING (Driver)"))
 def e16_latent_view(spark, sf):
     """Scores of the first five drivers with optional columns."""
-    x, _, m = _norm_pca(spark, sf)
-    s = pc.apply_pca(x, m)
-    return agg.latent_view(s, None, 5, ["Compound", "Missing"])
+    return agg.latent_view(_stored_scores(spark, sf), None, 5, ["Compound", "Missing"])
+
+
+@register("f8_model_dataset",
+          q.with_(LF, "SELECT lap_id, TargetTime, Compound, Event FROM lf WHERE "
+                      + " AND ".join(f"{c} IS NOT NULL" for c in NUM_MODEL + CAT_MODEL + [TARGET])))
+def f8_model_dataset(spark, sf):
+    """F8: complete model rows with the target split off."""
+    d = ml.model_dataset(fx.lap_features(spark, sf), NUM_MODEL + CAT_MODEL, TARGET)
+    return d.select("lap_id", "TargetTime", "Compound", "Event")
+
+
+@register("f8_model_dataset_with_pcs",
+          q.with_(_scores_ctes(), f"SELECT lap_id, TargetTime, Driver, Year, SessionType, {_PCS} FROM lf JOIN scores USING (lap_id) WHERE "
+                  + " AND ".join(f"{c} IS NOT NULL" for c in NUM_MODEL + CAT_MODEL + [TARGET])))
+def f8_model_dataset_with_pcs(spark, sf):
+    """F8 + D4 as the reference has it: principal components joined by key, incomplete rows dropped."""
+    scores = _stored_scores(spark, sf).select("lap_id", "PC1", "PC2", "PC3")
+    features = NUM_MODEL + CAT_MODEL + ["Driver", "Year", "SessionType", "PC1", "PC2", "PC3"]
+    d = ml.model_dataset(fx.lap_features(spark, sf), features, TARGET, scores, ["lap_id"])
+    return d.select("lap_id", "TargetTime", "Driver", "Year", "SessionType", "PC1", "PC2", "PC3")
 
 
 # ------------------------------------------------------------------ models (rows-only)
@@ -351,22 +395,50 @@ def f16_cv_lasso(spark, sf):
     return cv.metrics
 
 
-@register("f10_f14_model_zoo")
+# Rows that the five full-size models are fitted on, on average at most: a bound on fitting time, not on scoring.
+ZOO_ROWS = 600
+
+
+@register("f10_f14_model_zoo",
+          "SELECT * FROM (VALUES " + ", ".join(f"('{m}', true)" for m in ml.MODEL_ORDER) + ") t(model, beats_mean)")
 def f10_f14_model_zoo(spark, sf):
-    """F10-F14 + F16 + F17 + A16: small zoo, 3-fold CV, long metrics table with the best flagged."""
-    data = _model_data(spark, sf)
+    """F10-F14 + F16: every model at its full settings in 5 folds, and whether its MAE beats predicting the mean."""
+    data = ml.bounded_rows(_model_data(spark, sf), "lap_id", ZOO_ROWS)
+    mean = one_row(data.agg(F.avg(TARGET).alias("m")))["m"]
+    base = one_row(data.agg(F.avg(F.abs(F.col(TARGET) - F.lit(mean))).alias("m")))["m"]
     ms = None
     for name, fac in ml.model_zoo().items():
-        cv = ml.cross_validate(data, name, fac, NUM_MODEL, CAT_MODEL, "lap_id", TARGET, 3, refit=False)
-        ms = cv.metrics if ms is None else ms.unionByName(cv.metrics)
-    return sinks.metrics_table(ms, ml.MODEL_ORDER)
+        m = ml.cross_validate(data, name, fac, NUM_MODEL, CAT_MODEL, "lap_id", TARGET, 5, refit=False).metrics
+        ms = m if ms is None else ms.unionByName(m)
+    return ms.select("model", (F.col("MAE") < F.lit(base)).alias("beats_mean"))
+
+
+@register("a16_metrics_document")
+def a16_metrics_document(spark, sf):
+    """The metrics document of two cross-validated linear models."""
+    data = _model_data(spark, sf)
+    cvs = [ml.cross_validate(data, n, f, NUM_MODEL, [], "lap_id", TARGET, 5, refit=False).metrics
+           for n, f in (("LeastSquares", _least_squares), ("Lasso", ml.model_zoo()["Lasso"]))]
+    return sinks.metrics_json(cvs[0].unionByName(cvs[1]), ["LeastSquares", "Lasso"])
+
+
+def _least_squares():
+    return LinearRegression(regParam=0.0, solver="normal", labelCol="label")
+
+
+ONE = ["Avg_Speed_mps"]
 
 
-@register("f18_validation_predictions")
+@register("f18_validation_predictions",
+          q.with_({**LF, "lfc": "SELECT * FROM lf WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in NUM_MODEL + CAT_MODEL + [TARGET]),
+                   "d": "SELECT lap_id, CAST(CAST('0x' || substr(md5('42:' || lap_id), 1, 8) AS BIGINT) % 5 AS INTEGER) AS fold, "
+                        f"Avg_Speed_mps AS x, {TARGET} AS y FROM lfc",
+                   **{f"t{f}": f"SELECT {f} AS fold, regr_slope(y, x) AS a, regr_intercept(y, x) AS b FROM d WHERE fold <> {f}" for f in range(5)},
+                   "t": " UNION ALL ".join(f"SELECT * FROM t{f}" for f in range(5))},
+                  f"SELECT lap_id, fold, {R('y')} AS y_true, {R('b + a * x')} AS y_pred FROM d JOIN t USING (fold)"))
 def f18_validation_predictions(spark, sf):
-    """out-of-fold predictions of the Lasso CV."""
-    cv = ml.cross_validate(_model_data(spark, sf), "Lasso", ml.model_zoo()["Lasso"], NUM_MODEL,
-                           CAT_MODEL, "lap_id", TARGET, 5, refit=False)
+    """F16 + F18: out-of-fold predictions of the cross-validated pipeline (one-feature least squares)."""
+    cv = ml.cross_validate(_model_data(spark, sf), "LeastSquares", _least_squares, ONE, [], "lap_id", TARGET, 5, refit=False)
     return ml.validation_predictions(cv, "lap_id").select("lap_id", "fold", "y_true", "y_pred")
 
 
@@ -378,21 +450,30 @@ def f19_train_single(spark, sf):
     return cv.metrics
 
 
-@register("f21_predict")
+_LINE = {**LF, "lfc": "SELECT * FROM lf WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in NUM_MODEL + CAT_MODEL + [TARGET]),
+                   "line": f"SELECT regr_slope({TARGET}, Avg_Speed_mps) AS a, regr_intercept({TARGET}, Avg_Speed_mps) AS b FROM lfc"}
+
+
+def _line_model(spark, sf):
+    return ml.fit_pipeline(_model_data(spark, sf).withColumn("label", F.col(TARGET)), ONE, [], _least_squares())
+
+
+@register("f21_predict",
+          q.with_(_LINE, f"SELECT lap_id, {R('b + a * CASE WHEN Avg_Throttle > 50 THEN Avg_Speed_mps ELSE 55.0e0 END')} AS prediction FROM lf, line"))
 def f21_predict(spark, sf):
-    """F20 + F21: fit, score new rows with defaults injected for missing inputs."""
-    data = _model_data(spark, sf)
-    model = ml.fit_pipeline(data.withColumn("label", F.col(TARGET)), NUM_MODEL, CAT_MODEL, ml.model_zoo()["Lasso"]())
-    req = fx.lap_features(spark, sf).select("lap_id", "Avg_Speed_mps", "Compound", "Event", "LapNumber")
-    return ml.predict(req, model).select("lap_id", "prediction")
+    """score request rows, missing inputs filled with the defaults."""
+    req = fx.lap_features(spark, sf).select("lap_id", F.when(F.col("Avg_Throttle") > 50, F.col("Avg_Speed_mps")).alias("Avg_Speed_mps"))
+    return ml.predict(req, _line_model(spark, sf)).select("lap_id", "prediction")
 
 
-@register("f22_linear_attribution")
+@register("f22_linear_attribution",
+          q.with_(_LINE, "SELECT 'Avg_Speed_mps' AS feature, " + R("avg(abs(a * (Avg_Speed_mps - m)))")
+                  + " AS value FROM lfc, line, (SELECT avg(Avg_Speed_mps) AS m FROM lfc)"))
 def f22_linear_attribution(spark, sf):
-    """mean |Shapley| per input of the Lasso model, ranked."""
+    """mean |Shapley| per input of a linear model, ranked."""
     data = _model_data(spark, sf).withColumn("label", F.col(TARGET))
-    model = ml.fit_pipeline(data, NUM_MODEL, CAT_MODEL, ml.model_zoo()["Lasso"]())
-    return attr.linear_attribution(model, data, attr.feature_slot_names(model, NUM_MODEL, CAT_MODEL))
+    model = _line_model(spark, sf)
+    return attr.linear_attribution(model, data, attr.feature_slot_names(model, ONE, []))
 
 
 @register("f22_permutation_importance")
@@ -405,18 +486,15 @@ def f22_permutation_importance(spark, sf):
 
 # ------------------------------------------------------------------ streaming
 
-@register("st2_stream_scoring")
+@register("st2_stream_scoring", q.with_(_LINE, f"SELECT lap_id, {R('b + a * Avg_Speed_mps')} AS prediction FROM lf, line"))
 def st2_stream_scoring(spark, sf):
-    """ST2: lap rows arriving as a file stream, scored by the fitted Lasso pipeline."""
+    """ST2: lap rows arriving as a file stream, scored by a fitted pipeline."""
     from lapengine.streaming.scoring import score_stream
-    data = _model_data(spark, sf).withColumn("label", F.col(TARGET))
-    model = ml.fit_pipeline(data, NUM_MODEL, CAT_MODEL, ml.model_zoo()["Lasso"]())
     schema = spark.read.parquet(f"{sf}/lineitem.parquet").schema
 
     def prepare(stream_df):
-        return fx.lap_features(spark, None, lineitem=stream_df).select(
-            "lap_id", *[c for c in NUM_MODEL + CAT_MODEL if c != "Compound"], "Compound")
-    return score_stream(spark, f"{sf}/lineitem.parquet*", sf, schema, model, prepare, ["lap_id"])
+        return fx.lap_features(spark, None, lineitem=stream_df).select("lap_id", "Avg_Speed_mps")
+    return score_stream(spark, f"{sf}/lineitem.parquet*", sf, schema, _line_model(spark, sf), prepare, ["lap_id"])
 
 
 # ------------------------------------------------------------------ more explicit operator entries
@@ -467,9 +545,20 @@ def a14_partitioned_roundtrip(spark, sf):
     return sinks.read_partitioned(spark, root, "laps").select("Driver", "LapNumber", "Year", "Event", "SessionType")
 
 
-@register("a15_pca_record")
+@register("a15_pca_record",
+          "SELECT * FROM (VALUES " + ", ".join(f"('PC{i + 1}', '{f}', {q.lit(w)})" for i, comp in enumerate(STORED_PCA.components)
+                                               for f, w in zip(STORED_PCA.feature_names, comp)) + ") t(component, feature, loading)")
 def a15_pca_record(spark, sf):
-    """The PCA model record written as JSON and read back."""
+    """The PCA model record written as JSON and read back, as its loadings."""
+    from lapengine.streaming.ingest import shared_dir
+    path = shared_dir(spark, "pca-model")
+    sinks.save_pca(STORED_PCA.to_frame(spark), path)
+    return pc.loadings_frame(spark, pc.PcaModel.from_row(sinks.load_pca(spark, path).first()))
+
+
+@register("a15_fitted_pca_record")
+def a15_fitted_pca_record(spark, sf):
+    """A15 of a fitted model: the whole record."""
     from lapengine.streaming.ingest import shared_dir
     x, cols = mx.matrix_norm(fx.lap_features(spark, sf), COMPOUNDS)
     path = shared_dir(spark, "pca-model")
@@ -477,22 +566,30 @@ def a15_pca_record(spark, sf):
     return sinks.load_pca(spark, path)
 
 
-@register("f9_preprocessor")
+EVENTS = ["A", "N", "R"]
+
+
+@register("f9_preprocessor",
+          q.with_({**LF, "lfc": "SELECT * FROM lf WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in NUM_MODEL + CAT_MODEL + [TARGET])},
+                  "SELECT lap_id, " + ", ".join([_std_sql(c) for c in NUM_MODEL] + [
+                      f"CASE WHEN {c} = '{v}' THEN 1.0e0 ELSE 0.0e0 END AS {c}_{v}" for c, own in (("Compound", COMPOUNDS), ("Event", EVENTS)) for v in own])
+                  + " FROM lfc"))
 def f9_preprocessor(spark, sf):
-    """scaled numerics + one-hot categoricals as the model input vector."""
+    """scaled numerics + one-hot categoricals, slot by slot."""
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
     data = _model_data(spark, sf)
     pre = Pipeline(stages=ml.build_preprocessor(NUM_MODEL, CAT_MODEL, data.count())).fit(data)
-    return pre.transform(data).select("lap_id", vector_to_array("features").alias("features"))
+    names = attr.feature_slot_names(pre, NUM_MODEL, CAT_MODEL)
+    x = pre.transform(data).select("lap_id", vector_to_array("features").alias("x"))
+    return x.select("lap_id", *[F.col("x")[i].alias(n) for i, n in enumerate(names)])
 
 
-@register("f20_model_roundtrip")
+@register("f20_model_roundtrip",
+          q.with_(_LINE, f"SELECT lap_id, {R('b + a * Avg_Speed_mps')} AS prediction FROM lfc, line"))
 def f20_model_roundtrip(spark, sf):
     """F20 + F21: persist the fitted pipeline, load it back, score every lap."""
     from lapengine.streaming.ingest import shared_dir
-    data = _model_data(spark, sf).withColumn("label", F.col(TARGET))
-    model = ml.fit_pipeline(data, NUM_MODEL, CAT_MODEL, ml.model_zoo()["Lasso"]())
     path = shared_dir(spark, "model")
-    ml.save_model(model, path)
-    return ml.predict(data.drop("label"), ml.load_model(path)).select("lap_id", "prediction")
+    ml.save_model(_line_model(spark, sf), path)
+    return ml.predict(_model_data(spark, sf), ml.load_model(path)).select("lap_id", "prediction")

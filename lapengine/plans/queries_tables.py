@@ -113,6 +113,9 @@ def e15_speed_trace(spark, sf):
 
 # ------------------------------------------------------------------ C10-C13
 
+SESSION_DRIVER = ["Year", "Event", "SessionType", "Driver"]
+
+
 @register("c10_every_nth",
           q.with_(q.zoh_ctes(), f"SELECT {LAP}, tick, {R('Speed')} AS Speed FROM grid WHERE tick % 10 = 0"))
 def c10_every_nth(spark, sf):
@@ -132,33 +135,33 @@ def c10_every_nth_samples(spark, sf):
 
 @register("c11_fastest_laps",
           q.with_({"laps": fx.SQL_LAPS},
-                  f"SELECT Driver, LapNumber, {R('LapTimeSeconds')} AS LapTimeSeconds FROM laps "
+                  f"SELECT Year, Event, SessionType, Driver, LapNumber, {R('LapTimeSeconds')} AS LapTimeSeconds FROM laps "
                   f"WHERE LapTimeSeconds IS NOT NULL QUALIFY row_number() OVER "
-                  f"(PARTITION BY Driver ORDER BY LapTimeSeconds, LapNumber) <= 3"))
+                  f"(PARTITION BY Year, Event, SessionType, Driver ORDER BY LapTimeSeconds, LapNumber) <= 3"))
 def c11_fastest_laps(spark, sf):
-    """C11: three fastest laps per driver."""
-    return series.fastest_laps(fx.laps(spark, sf), ["Driver"], n=3).select("Driver", "LapNumber", "LapTimeSeconds")
+    """C11: three fastest laps per driver of each session."""
+    return series.fastest_laps(fx.laps(spark, sf), SESSION_DRIVER, n=3).select(*SESSION_DRIVER, "LapNumber", "LapTimeSeconds")
 
 
 @register("c12_fastest_lap",
           q.with_({"laps": fx.SQL_LAPS},
-                  f"SELECT Driver, LapNumber, {R('LapTimeSeconds')} AS LapTimeSeconds, Compound, TyreLife FROM laps "
+                  f"SELECT Year, Event, SessionType, Driver, LapNumber, {R('LapTimeSeconds')} AS LapTimeSeconds, Compound, TyreLife FROM laps "
                   f"WHERE LapTimeSeconds IS NOT NULL QUALIFY row_number() OVER "
-                  f"(PARTITION BY Driver ORDER BY LapTimeSeconds, LapNumber) = 1"))
+                  f"(PARTITION BY Year, Event, SessionType, Driver ORDER BY LapTimeSeconds, LapNumber) = 1"))
 def c12_fastest_lap(spark, sf):
-    """Fastest lap per driver (grouped min of a struct)."""
-    lp = fx.laps(spark, sf).select("Driver", "LapNumber", "LapTimeSeconds", "Compound", "TyreLife")
-    return series.fastest_lap(lp, ["Driver"])
+    """Fastest lap per driver of each session (grouped min of a struct)."""
+    lp = fx.laps(spark, sf).select(*SESSION_DRIVER, "LapNumber", "LapTimeSeconds", "Compound", "TyreLife")
+    return series.fastest_lap(lp, SESSION_DRIVER)
 
 
 @register("c13_first_lap",
           q.with_({"laps": fx.SQL_LAPS},
-                  f"SELECT Driver, LapNumber, {R('LapTimeSeconds')} AS LapTimeSeconds, Compound FROM laps "
-                  f"QUALIFY row_number() OVER (PARTITION BY Driver ORDER BY LapNumber) = 1"))
+                  f"SELECT Year, Event, SessionType, Driver, LapNumber, {R('LapTimeSeconds')} AS LapTimeSeconds, Compound FROM laps "
+                  f"QUALIFY row_number() OVER (PARTITION BY Year, Event, SessionType, Driver ORDER BY LapNumber) = 1"))
 def c13_first_lap(spark, sf):
-    """First lap per driver."""
-    lp = fx.laps(spark, sf).select("Driver", "LapNumber", "LapTimeSeconds", "Compound")
-    return series.first_lap(lp, ["Driver"])
+    """First lap per driver of each session."""
+    lp = fx.laps(spark, sf).select(*SESSION_DRIVER, "LapNumber", "LapTimeSeconds", "Compound")
+    return series.first_lap(lp, SESSION_DRIVER)
 
 
 # ------------------------------------------------------------------ D1, D3, D6
