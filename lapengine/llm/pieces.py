@@ -272,8 +272,7 @@ def _encode(name: str, said: Broadcast, d: Dropout, text: pa.Array, key: pa.Arra
     v = _vocabulary(name, said)
     ids, off = encode_batch(v, d, text, keys)
     data, at = row_bytes(text)
-    whole = ids.tolist()
-    same = [decode(v, whole[a:b]) == data[s:e].tobytes() for a, b, s, e in
+    same = [decode(v, ids[a:b].tolist()) == data[s:e].tobytes() for a, b, s, e in     # a row's list at a time
             zip(off[:-1].tolist(), off[1:].tolist(), at[:-1].tolist(), at[1:].tolist(), strict=True)]
     return pa.StructArray.from_arrays([pa.ListArray.from_arrays(pa.array(off, pa.int32()), pa.array(ids)), pa.array(same)], ["ids", "lossless"])
 

@@ -8,6 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+def bounded_batches(spark: SparkSession, rows: int = 1000) -> SparkSession:
+    """``spark``, set to hand Python at most ``rows`` rows at a time: a batch of whole texts is some MB then."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= rows:
+        spark.conf.set(name, str(rows))
+    return spark
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder name under ``spark.checkpoint.dir``.
 

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 19
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 BYTE_CODE = _rng.integers(0, 2**64, 256, dtype=np.uint64)   # random code of each byte value
@@ -35,7 +35,7 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
         have = np.full(size, base, np.uint64)
         have[0] = 1
         np.multiply.accumulate(have, out=have)
-        if size <= 8 * CHUNK_BYTES:
+        if size <= 4 * CHUNK_BYTES:
             _powers[int(base)] = have
     return have[:n]
 
