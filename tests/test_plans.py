@@ -3,6 +3,7 @@
 from lapengine.operators import series
 from lapengine.plans import registry
 from lapengine.plans import telemetry as tp
+from lapengine.plans.queries_ml import MODEL_QUERIES
 from tests.conftest import SF_SMALL
 
 registry.load_all()
@@ -31,7 +32,7 @@ def test_dynamics_chain_single_partitioning(spark):
 def test_no_cartesian_products(spark):
     """Every query's plan, those that fit models on the way included."""
     for name, q in QUERIES.items():
-        if name in ("f10_f14_model_zoo", "f22_permutation_importance"):
+        if name in MODEL_QUERIES or name == "f22_permutation_importance":
             continue  # minutes of fitting; their frames are joins on keys only
         plan = _plan(q(spark, SF_SMALL))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
