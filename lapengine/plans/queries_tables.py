@@ -59,7 +59,8 @@ def tfs_ctes() -> dict[str, str]:
 
 
 def _time_dist(spark, sf):
-    return compare.time_from_speed(tp.distance_grid(spark, sf), tp.LAP_KEYS, step=STEP, scale=fx.FX1_DIST_SCALE)
+    grid = tp.materialised(tp.distance_grid(spark, sf), "distance-grid")
+    return compare.time_from_speed(grid, tp.LAP_KEYS, step=STEP, scale=fx.FX1_DIST_SCALE)
 
 
 # ------------------------------------------------------------------ C2, C9, D2, D5
@@ -89,7 +90,7 @@ def c9_time_from_speed(spark, sf):
                   f"WHERE a.Driver = '{D1_DRIVER}' AND a.LapNumber = 1 AND b.Driver = '{D2_DRIVER}' AND b.LapNumber = 1"))
 def d2_ghost_delta(spark, sf):
     """Time delta of two drivers' laps on the shared distance ticks."""
-    return compare.ghost_delta(_time_dist(spark, sf), (D1_DRIVER, 1), (D2_DRIVER, 1))
+    return compare.ghost_delta(tp.materialised(_time_dist(spark, sf), "traces"), (D1_DRIVER, 1), (D2_DRIVER, 1))
 
 
 @register("d5_ghost_delta_all",
@@ -100,7 +101,7 @@ def d2_ghost_delta(spark, sf):
                   f"ON a.tick = r.tick"))
 def d5_ghost_delta_all(spark, sf):
     """Every lap's time delta to one reference lap."""
-    return compare.ghost_delta_all(_time_dist(spark, sf), (D1_DRIVER, 1))
+    return compare.ghost_delta_all(tp.materialised(_time_dist(spark, sf), "traces"), (D1_DRIVER, 1))
 
 
 @register("e15_speed_trace",

@@ -29,6 +29,18 @@ def distance_grid(spark: SparkSession, sf_dir: str, *, null_value: bool = False,
                                    chunk_ticks=chunk_ticks)
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back, for plans that read it several times.
+
+    The grids are artefacts that the reference persists too; every consumer
+    then reads the grid instead of building it again from the raw samples.
+    """
+    from lapengine.streaming.ingest import shared_dir
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def dynamics(spark: SparkSession, sf_dir: str, *, short_laps: bool = False,
              chunk_ticks: int = series.DEFAULT_CHUNK_TICKS) -> DataFrame:
     g = time_grid(spark, sf_dir, short_laps=short_laps, chunk_ticks=chunk_ticks)
@@ -36,7 +48,7 @@ def dynamics(spark: SparkSession, sf_dir: str, *, short_laps: bool = False,
 
 
 def enriched(spark: SparkSession, sf_dir: str, *, chunk_ticks: int = series.DEFAULT_CHUNK_TICKS) -> DataFrame:
-    g = time_grid(spark, sf_dir, chunk_ticks=chunk_ticks)
+    g = materialised(time_grid(spark, sf_dir, chunk_ticks=chunk_ticks), "time-grid")
     return series.enrich(g, LAP_KEYS, dt=fx.FX1_DT, chunk_ticks=chunk_ticks)
 
 
