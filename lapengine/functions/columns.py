@@ -16,33 +16,6 @@ MIN_SPEED_NORM = 1e-6         # planar speed floor before dividing
 STANDSTILL_SPEED = 0.1        # m/s substituted for 0 when rebuilding time
 
 
-def to_mps(c) -> Column:
-    """km/h -> m/s as the smoother input does it (``* 1000/3600``)."""
-    return F.col(c) * F.lit(KMH_TO_MPS) if isinstance(c, str) else c * F.lit(KMH_TO_MPS)
-
-
-def kmh_div(c) -> Column:
-    """km/h -> m/s as the time rebuild does it (``/ 3.6``)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return col / F.lit(KMH_PER_MPS)
-
-
-def to_g(c) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return col / F.lit(STANDARD_GRAVITY)
-
-
-def guard_zero(c, replacement: float) -> Column:
-    """Exact zero -> replacement (speed 0 -> 0.1 in the time rebuild)."""
-    col = F.col(c) if isinstance(c, str) else c
-    return F.when(col == 0, F.lit(replacement)).otherwise(col)
-
-
-def clip_min(c, floor: float) -> Column:
-    col = F.col(c) if isinstance(c, str) else c
-    return F.greatest(col, F.lit(floor))
-
-
 def safe_div(a, b) -> Column:
     """``a / b`` with a zero divisor giving null (pandas ``replace(0, NA)``)."""
     a = F.col(a) if isinstance(a, str) else a

@@ -96,8 +96,3 @@ def tag_samples(samples: DataFrame, meta: DataFrame, keys: list[str],
 def project_present(df: DataFrame, must: list[str], optional: list[str]) -> DataFrame:
     """Required columns plus the optional ones present in the schema."""
     return df.select(*must, *[c for c in optional if c in df.columns and c not in must])
-
-
-def drop_null_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Grouping in the reference drops null keys; do it explicitly."""
-    return df.where(all_not_null(keys))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lapengine.operators import aggregates as agg
 from lapengine.operators.clean import complete_cases
+from lapengine.schemas import require_columns
 
 # Fixed column lists that must equal the reference's.
 BASE_FEATURES = [
@@ -77,12 +78,14 @@ def standardize(df: DataFrame, cols: list[str], stats: DataFrame | None = None,
 
 def matrix_session(feat: DataFrame, compounds: list) -> tuple[DataFrame, list[str]]:
     """base features + Compound dummies (one session's laps)."""
+    require_columns(feat, BASE_FEATURES + ["Compound"])
     x, names = dummies(feat, "Compound", "Compound", compounds)
     return x, BASE_FEATURES + names
 
 
 def matrix_global(feat: DataFrame, compounds: list, years: list) -> tuple[DataFrame, list[str]]:
     """base features + Compound and Year dummies; complete rows only."""
+    require_columns(feat, BASE_FEATURES + ["Compound", "Year"])
     x, cn = dummies(feat, "Compound", "Compound", compounds)
     x, yn = dummies(x, "Year", "Year", years)
     cols = BASE_FEATURES + cn + yn
@@ -97,6 +100,7 @@ def normalize_by_event(feat: DataFrame) -> DataFrame:
 
 def matrix_norm(feat: DataFrame, compounds: list) -> tuple[DataFrame, list[str]]:
     """normalised features + Compound dummies; complete rows only."""
+    require_columns(feat, BASE_FEATURES + ["Compound", *EVENT_KEYS])
     x = normalize_by_event(feat)
     x, cn = dummies(x, "Compound", "Compound", compounds)
     cols = NORM_FEATURES + cn

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from lapengine.operators.aggregates import regression_metrics
 from lapengine.operators.clean import complete_cases
+from lapengine.schemas import require_columns
 
 TARGET = "LapTimeSeconds"
 FOLD_SEED = 42
@@ -43,6 +44,7 @@ def model_dataset(feat: DataFrame, features: list[str], target: str = TARGET,
     if scores is not None:
         x = x.join(scores.select(*keys, "PC1", "PC2", "PC3"), keys, "left")
     cols = list(features) + [target]
+    require_columns(x, cols)
     return complete_cases(x, cols)
 
 

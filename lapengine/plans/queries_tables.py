@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lapengine import schemas
 from lapengine.operators import aggregates as agg
 from lapengine.operators import clean, compare, series
 from lapengine.plans import fixtures as fx
@@ -340,6 +341,44 @@ def a1_scan_laps(spark, sf):
     return lp.where(season).select("Driver", "LapNumber", "LapTimeSeconds")
 
 
+@register("a1_read_artifact", q.with_({"laps": fx.SQL_LAPS},
+                                      f"SELECT Driver, CAST(LapNumber AS INTEGER) AS LapNumber, Compound, TyreLife, {R('LapTimeSeconds')} AS LapTimeSeconds FROM laps"))
+def a1_read_artifact(spark, sf):
+    """A1: an artefact kind written and read with its declared schema."""
+    from lapengine.streaming.ingest import shared_dir
+    path = shared_dir(spark, "laps-metadata")
+    _as(fx.laps(spark, sf), "laps_metadata").write.parquet(path)
+    return src.read_artifact(spark, path, "laps_metadata")
+
+
+def _as(df, kind):
+    """``df`` with the columns and types of an artefact kind."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SCHEMAS[kind].fields])
+
+
+@register("a4_merge_sessions",
+          q.with_({"lf": fx.SQL_LAP_FEATURES},
+                  f"SELECT 2024 AS Year, 'Event_' || Event AS Event, 'R' AS SessionType, Driver, LapNumber, {R('Energy_Index')} AS Energy_Index FROM lf"))
+def a4_merge_sessions(spark, sf):
+    """A4: one folder per session, and one that is none, merged by a single scan; keys from the folder names."""
+    from lapengine.streaming.ingest import shared_dir
+    root, lf = shared_dir(spark, "sessions"), fx.lap_features(spark, sf)
+    for event in ("A", "N", "R"):
+        _as(lf.where(F.col("Event") == event), "lap_features").write.parquet(f"{root}/2024_Event_{event}_R/lap_features")
+    _as(lf, "lap_features").write.parquet(f"{root}/backup/lap_features")
+    return src.merge_sessions(spark, root).select("Year", "Event", "SessionType", "Driver", "LapNumber", "Energy_Index")
+
+
+@register("a17_first_available", q.with_({"laps": fx.SQL_LAPS}, "SELECT Driver, LapNumber FROM laps"))
+def a17_first_available(spark, sf):
+    """Of a missing source, an empty one and a full one, the full one."""
+    from lapengine.streaming.ingest import shared_dir
+    root, lp = shared_dir(spark, "candidates"), fx.laps(spark, sf).select("Driver", "LapNumber")
+    lp.limit(0).write.parquet(f"{root}/empty")
+    lp.write.parquet(f"{root}/full")
+    return src.first_available(spark, [f"{root}/missing", f"{root}/empty", f"{root}/full"])
+
+
 _A2_SQL = ("CASE WHEN len(string_split(label, '_')) > 2 THEN array_to_string(string_split(label, '_')"
            "[2:len(string_split(label, '_')) - 1], '_') ELSE 'UnknownEvent' END")
 

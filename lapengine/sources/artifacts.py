@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -153,13 +154,14 @@ def results_table(df: DataFrame, types: tuple[str, ...] = ("Q", "R", "Sprint"),
 
 def first_available(spark: SparkSession, paths: list[str], fmt: str = "parquet",
                     schema: T.StructType | None = None) -> DataFrame | None:
-    """The first path that exists and holds data (Hadoop FS check)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """The first path that exists and holds a row, or None."""
     for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
-        if fs.exists(path):
-            r = spark.read.schema(schema) if schema is not None else spark.read
-            return r.format(fmt).load(p)
+        r = spark.read.schema(schema) if schema is not None else spark.read
+        try:
+            df = r.format(fmt).load(p)
+            if not df.isEmpty():
+                return df
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
     return None
