@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lapengine.llm import decontaminate, language, pieces, secrets, simhash
 from lapengine.llm.registry import table
-from lapengine.llm.storage import shared_dir, written
+from lapengine.llm.storage import bounded_batches, shared_dir, written
 
 MIN_LANGUAGE_SCORE = 0.4
 
@@ -29,6 +29,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The model is learned from the stage's own labelled documents.
     """
+    bounded_batches(spark)
     found = language.identify(docs, language.train(docs), to="_stage_lang")
     return found.where((F.col("_stage_lang.lang") != language.UNKNOWN) & (F.col("_stage_lang.score") >= MIN_LANGUAGE_SCORE)).select(*docs.columns)
 
@@ -36,6 +37,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate group: the one with the smallest doc_id (of several
     rows with that id, one with the smallest fingerprint; of rows alike in both, any one)."""
+    bounded_batches(spark)
     rows = docs.withColumn("_stage_fp", simhash.fingerprint(F.col("text")))
     of = simhash.near_duplicates(written(rows.select("doc_id", F.col("_stage_fp").alias("fp")), "stagefps"))
     keepers = of.where(F.col("fp") == F.col("keeper_fp")).select(F.col("keeper_fp").alias("_stage_k"), F.col("component_id").alias("_stage_id"))
@@ -63,7 +65,7 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenized(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids with merge-dropout of every document, and whether they decode to its text."""
-    e = docs.select("doc_id", pieces.Tokenizer(spark).encode(F.col("text"), F.col("doc_id")).alias("e"))
+    e = docs.select("doc_id", pieces.Tokenizer(bounded_batches(spark)).encode(F.col("text"), F.col("doc_id")).alias("e"))
     return e.select("doc_id", F.size("e.ids").cast("long").alias("n_tokens"), F.col("e.lossless").alias("lossless"), F.col("e.ids").alias("ids"))
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from lapengine.llm.registry import register, table
 
 MAX_DOCS, MAX_WORDS, MAX_GRAMS, GRAMS = 1500, 30_000, 8_000, 4
-CACHE = 200_000
+CACHE = 100_000
 UNKNOWN = "und"
 # one definition of a word for training (Java) and prediction (Python): a run of letters
 WORD = re.compile(r"[^\W\d_]+")
