@@ -3,8 +3,9 @@
 A known word is scored by its log frequency in each language.  An unseen word
 falls back to its longest character n-grams (word ends marked), then to
 shorter ones, and takes the mean of those the model knows.  A text's
-prediction is the language with the highest mean score of its words; its
-confidence is the softmax of the mean scores.
+prediction is the language with the highest sum of its words' scores; its
+confidence is the softmax of the sums, so words that all languages share say
+nothing either way, however often they occur.
 
 Training is bounded by parameters: about ``MAX_DOCS`` documents a language (a
 hashed share), and of what they hold the ``MAX_WORDS`` commonest words and
@@ -77,8 +78,8 @@ class Scorer:
             self.rows[k] = self.fall_back(word)
         return k
 
-    def mean_scores(self, text: str) -> np.ndarray | None:
-        """Mean score of the text's words in each language; None without a letter."""
+    def scores(self, text: str) -> np.ndarray | None:
+        """Sum of the scores of the text's words in each language; None without a letter."""
         count = Counter(WORD.findall(text.lower()))
         if not count:
             return None
@@ -90,13 +91,13 @@ class Scorer:
                 self.seen.clear()
             rows = np.fromiter(map(self.row, part), np.int64, len(part))
             total += np.fromiter(map(count.__getitem__, part), np.float64, len(part)) @ self.rows[rows]
-        return total / sum(count.values())
+        return total
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        mean = self.mean_scores(text) if text and self.model.langs else None
-        if mean is None:
+        total = self.scores(text) if text and self.model.langs else None
+        if total is None:
             return UNKNOWN, 0.0
-        p = np.exp(mean - mean.max())
+        p = np.exp(total - total.max())
         k = int(np.argmax(p))
         return self.model.langs[k], float(p[k] / p.sum())
 
