@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapengine.llm.registry import register, table
-from lapengine.llm.storage import shared_dir
+from lapengine.llm.storage import shared_dir, written
 
 SPAN = "struct<rule:string,kind:string,rank:int,start:bigint,end:bigint>"
 LEDGER_SCHEMA = f"blob binary, rules array<string>, spans array<{SPAN}>"
@@ -136,6 +136,8 @@ def findings(versions: DataFrame, ledger: str, rules=RULES, text_col: str = "tex
                .groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")))
     of_blob = of_blob.select(F.col("blob").alias("_blob"), F.array_sort(F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))).alias("_found"))
+    # written, so that the join is of two plain inputs and the rows of a blob with many copies can be split
+    of_blob = written(of_blob, "findings")
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
     rows = versions.withColumn("_blob", blob_of(F.col(text_col)))
     return rows.join(of_blob, "_blob", "left").withColumn("secret_spans", F.coalesce("_found", none)).drop("_blob", "_found")
