@@ -14,7 +14,7 @@ An empty table gives an empty result.  Columns whose names begin with
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapengine.llm import decontaminate, language, pieces, secrets, simhash
@@ -38,11 +38,16 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each near-duplicate group: the one with the smallest doc_id (of several
     rows with that id, one with the smallest fingerprint; of rows alike in both, any one)."""
     bounded_batches(spark)
-    rows = docs.withColumn("_stage_fp", simhash.fingerprint(F.col("text")))
+    # an id that is never null: the join and the choice among repeated rows then share one shuffle of the texts
+    rows = docs.withColumns({"_stage_fp": simhash.fingerprint(F.col("text")), "_stage_id": _named(F.col("doc_id"))})
     of = simhash.near_duplicates(written(rows.select("doc_id", F.col("_stage_fp").alias("fp")), "stagefps"))
-    keepers = of.where(F.col("fp") == F.col("keeper_fp")).select(F.col("keeper_fp").alias("_stage_k"), F.col("component_id").alias("_stage_id"))
-    kept = rows.join(keepers, (F.col("_stage_fp") == F.col("_stage_k")) & F.col("doc_id").eqNullSafe(F.col("_stage_id")), "left_semi")
-    return kept.dropDuplicates(["_stage_fp", "doc_id"]).select(*docs.columns)
+    keepers = of.where(F.col("fp") == F.col("keeper_fp")).select(F.col("fp").alias("_stage_fp"), _named(F.col("component_id")).alias("_stage_id"))
+    kept = rows.join(keepers, ["_stage_fp", "_stage_id"], "left_semi")
+    return kept.dropDuplicates(["_stage_fp", "_stage_id"]).select(*docs.columns)
+
+
+def _named(doc_id: Column) -> Column:
+    return F.coalesce(F.concat(F.lit("#"), doc_id.cast("string")), F.lit(""))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
