@@ -59,10 +59,11 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces every secret by a placeholder; no document goes."""
     ledger = shared_dir(spark, "stageledger")
-    packed = docs.select(F.struct(*docs.columns).alias("_stage_row"), "text")      # so that no name can clash
+    # packed, so that no name can clash; the text is moved once, not in the pack too
+    packed = docs.select(F.struct(F.lit(0).alias("_stage_"), *[c for c in docs.columns if c != "text"]).alias("_stage_row"), "text")
     secrets.update(packed, ledger)
     found = secrets.findings(packed, ledger).withColumn("_stage_text", secrets.redact(F.col("text"), F.col("secret_spans")))
-    own = {c: F.col("_stage_row")[c] for c in docs.columns} | {"text": F.col("_stage_text")}
+    own = {c: F.col("_stage_text" if c == "text" else f"_stage_row.`{c}`") for c in docs.columns}
     if "n_chars" in own:
         own["n_chars"] = F.when(F.size("secret_spans") > 0, F.length("_stage_text").cast(docs.schema["n_chars"].dataType)).otherwise(own["n_chars"])
     return found.select(*[own[c].alias(c) for c in docs.columns])
