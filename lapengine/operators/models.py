@@ -150,18 +150,23 @@ def _checkpointed(df: DataFrame) -> DataFrame:
 
 def cross_validate(df: DataFrame, name: str, estimator_factory: Callable[[], object], num_cols: list[str],
                    cat_cols: list[str], key: str, target: str = TARGET, k: int = 5,
-                   refit: bool = True, parallelism: int = 5) -> CvResult:
+                   refit: bool = True, parallelism: int = 5, fit_rows: int | None = None) -> CvResult:
     """F16: K-fold: fit on k-1 folds (preprocessing included), predict the rest.
 
-    The fold-tagged input is checkpointed to the cluster's checkpoint
+    ``fit_rows`` bounds each fit to a hashed share of its rows (``bounded_rows``);
+    every row is predicted and measured all the same.  The fold-tagged input is checkpointed to the cluster's checkpoint
     directory once (lineage cut, survives executor loss) and reused by all
     ``k`` fits and the final refit on all rows.
     """
     data = with_fold(df.withColumn("label", F.col(target).cast("double")), key, k)
     data = _checkpointed(data)
 
+    def fitted(rows: DataFrame) -> PipelineModel:
+        own = rows if fit_rows is None else bounded_rows(rows, key, fit_rows)
+        return fit_pipeline(own, num_cols, cat_cols, estimator_factory())
+
     def fold_predictions(f: int) -> DataFrame:
-        m = fit_pipeline(data.where(F.col("fold") != f), num_cols, cat_cols, estimator_factory())
+        m = fitted(data.where(F.col("fold") != f))
         return m.transform(data.where(F.col("fold") == f)).select(
             *df.columns, "fold", F.col("label").alias("y_true"), F.col("prediction").alias("y_pred"))
 
@@ -176,7 +181,7 @@ def cross_validate(df: DataFrame, name: str, estimator_factory: Callable[[], obj
     fm = regression_metrics(preds, by=["fold"])
     mean = fm.agg(F.avg("MAE").alias("MAE"), F.avg("RMSE").alias("RMSE"), F.avg("R2").alias("R2")) \
              .select(F.lit(name).alias("model"), "MAE", "RMSE", "R2")
-    final = fit_pipeline(data, num_cols, cat_cols, estimator_factory()) if refit else None
+    final = fitted(data) if refit else None
     return CvResult(name, mean, fm, preds, final)
 
 

@@ -13,6 +13,7 @@ from lapengine.operators import matrix as mx
 from lapengine.operators import models as ml
 from lapengine.operators import pca as pc
 from lapengine.plans import fixtures as fx
+from lapengine.plans.registry import QUERIES
 from tests.conftest import SF_SMALL
 
 DATA = os.path.join(os.path.dirname(__file__), "data")
@@ -177,3 +178,48 @@ def test_tree_importances_ranked(spark):
     imp = attr.tree_importances(spark, model, attr.feature_slot_names(model, NUM, ["Compound"])).collect()
     assert imp[0].feature in ("Avg_Speed_mps", "Brake_Aggression", "Max_Longitudinal_g")
     assert abs(sum(r.value for r in imp) - 1.0) < 1e-9
+
+
+@pytest.fixture()
+def small_zoo(monkeypatch):
+    """The model queries with small models; gives the cross-validations that they ran and the rows of each fit."""
+    from lapengine.plans import queries_ml as qm
+    zoo, run, fit, cvs, fits = ml.model_zoo(), ml.cross_validate, ml.fit_pipeline, {}, []
+    small = {k: zoo[k] if k == "Lasso" else (lambda: ml._forest(3, 4)) for k in ml.MODEL_ORDER}
+
+    def seen(df, name, *args, **kw):
+        cvs[name] = run(df, name, *args, **kw)
+        return cvs[name]
+
+    def fitted(df, *args):
+        fits.append(df.count())
+        return fit(df, *args)
+    monkeypatch.setattr(ml, "model_zoo", lambda: small)
+    monkeypatch.setattr(ml, "cross_validate", seen)
+    monkeypatch.setattr(ml, "fit_pipeline", fitted)
+    return qm, cvs, fits
+
+
+def test_model_queries_score_every_row(spark, small_zoo):
+    qm, cvs, fits = small_zoo
+    n = qm._model_data(spark, SF_SMALL).count()
+    assert n > 2 * qm.ZOO_ROWS
+    for query, name in (("f10_random_forest", "RandomForest"), ("f12_lasso", "Lasso")):
+        fits.clear()
+        assert QUERIES[query](spark, SF_SMALL).first().model == name
+        assert cvs[name].predictions.count() == n and cvs[name].predictions.select("lap_id").distinct().count() == n
+        if name == "Lasso":
+            assert sum(fits) == 4 * n
+        else:
+            assert all(abs(m - qm.ZOO_ROWS) < 150 for m in fits)
+
+
+def test_model_zoo_gives_the_metrics_and_the_best(spark, small_zoo):
+    qm, cvs, _ = small_zoo
+    got = QUERIES["f10_f14_model_zoo"](spark, SF_SMALL).collect()
+    assert {(r.model, r.metric) for r in got} == {(m, k) for m in ml.MODEL_ORDER for k in ("MAE", "RMSE", "R2")} and len(got) == 15
+    p = cvs["Lasso"].predictions.toPandas()
+    want = (p.y_true - p.y_pred).abs().groupby(p.fold).mean().mean()
+    assert np.isclose(next(r.value for r in got if (r.model, r.metric) == ("Lasso", "MAE")), want, atol=1e-6)
+    mae = {r.model: r.value for r in got if r.metric == "MAE"}
+    assert {r.model for r in got if r.is_best} == {min(ml.MODEL_ORDER, key=mae.get)}
