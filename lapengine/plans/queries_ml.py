@@ -500,9 +500,9 @@ def f22_linear_attribution(spark, sf):
 
 @register("f22_permutation_importance")
 def f22_permutation_importance(spark, sf):
-    """F22 for trees: permutation importance of the full-size forest, fitted and measured on about ZOO_ROWS rows."""
-    data = ml.bounded_rows(_model_data(spark, sf), "lap_id", ZOO_ROWS).withColumn("label", F.col(TARGET))
-    model = ml.fit_pipeline(data, NUM_MODEL, CAT_MODEL, ml.model_zoo()["RandomForest"]())
+    """F22 for trees: permutation importance of the full-size forest, fitted on about ZOO_ROWS rows and measured on all."""
+    data = _model_data(spark, sf).withColumn("label", F.col(TARGET))
+    model = ml.fit_pipeline(ml.bounded_rows(data, "lap_id", ZOO_ROWS), NUM_MODEL, CAT_MODEL, ml.model_zoo()["RandomForest"]())
     return attr.permutation_importance(model, data, NUM_MODEL, "label", "lap_id")
 
 

@@ -223,3 +223,18 @@ def test_model_zoo_gives_the_metrics_and_the_best(spark, small_zoo):
     assert np.isclose(next(r.value for r in got if (r.model, r.metric) == ("Lasso", "MAE")), want, atol=1e-6)
     mae = {r.model: r.value for r in got if r.metric == "MAE"}
     assert {r.model for r in got if r.is_best} == {min(ml.MODEL_ORDER, key=mae.get)}
+
+
+def test_permutation_importance_query_measures_every_row(spark, small_zoo, monkeypatch):
+    qm, _, fits = small_zoo
+    measured, run = [], attr.permutation_importance
+
+    def seen(model, df, *args):
+        measured.append(df.count())
+        return run(model, df, *args)
+    monkeypatch.setattr(attr, "permutation_importance", seen)
+    got = QUERIES["f22_permutation_importance"](spark, SF_SMALL).collect()
+    n = qm._model_data(spark, SF_SMALL).count()
+    assert measured == [n] and n // 1000 > 1                # several buckets
+    assert len(fits) == 1 and abs(fits[0] - qm.ZOO_ROWS) < 150
+    assert got[0].feature == "Avg_Speed_mps" and len(got) == len(qm.NUM_MODEL)
