@@ -5,7 +5,10 @@ falls back to its longest character n-grams (word ends marked), then to
 shorter ones, and takes the mean of those the model knows.  A text's
 prediction is the language with the highest sum of its words' scores; its
 confidence is the softmax of the sums, so words that all languages share say
-nothing either way, however often they occur.
+nothing either way, however often they occur.  The confidence only compares the
+learned languages and nears 1 for any long text; ``familiar``, the words' mean
+familiarity in the predicted language, does not depend on length and tells a
+text of none of them.
 
 Training is bounded by parameters: about ``MAX_DOCS`` documents a language (a
 hashed share), and of what they hold the ``MAX_WORDS`` commonest words and
@@ -44,20 +47,29 @@ WORD = re.compile(r"[^\W\d_]+")
 @dataclass(frozen=True)
 class LanguageModel:
     """``units``: words as they are, n-grams with a leading tab; row k of ``scores`` has the
-    log frequency of unit k in each of ``langs``."""
+    log frequency of unit k in each of ``langs``, row k of ``seen`` whether it was seen there."""
 
     langs: list[str]
     units: list[str]
     scores: np.ndarray
     grams: int
+    seen: np.ndarray
 
 
 class Scorer:
-    """Scores words with a model; keeps the latest unseen words' scores."""
+    """Scores words with a model; keeps the latest unseen words' scores.
+
+    A row holds a word's score in each language, then how familiar it is there: 1 for a word
+    that was seen in the language, else the share of its longest n-grams that were.
+    """
 
     def __init__(self, model: LanguageModel) -> None:
         self.model, self.known = model, dict(zip(model.units, range(len(model.units)), strict=True))
-        self.rows = np.concatenate([model.scores, np.zeros((CACHE, len(model.langs)), np.float32)])
+        own = np.concatenate([model.scores, model.seen], axis=1, dtype=np.float32)
+        for word, k in self.known.items():      # a word of another language may still be built like this one's
+            if word[0] != "\t" and not model.seen[k].all():
+                own[k, len(model.langs):] = np.maximum(model.seen[k], self.built(word))
+        self.rows = np.concatenate([own, np.zeros((CACHE, own.shape[1]), np.float32)])
         self.seen: dict[str, int] = {}
 
     def fall_back(self, word: str) -> np.ndarray:
@@ -69,21 +81,30 @@ class Scorer:
                 return self.model.scores[own].mean(axis=0)
         return np.zeros(len(self.model.langs), np.float32)
 
+    def built(self, word: str) -> np.ndarray:
+        """Share of the word's longest n-grams that were seen in each language."""
+        marked = f"<{word}>"
+        n = min(self.model.grams, len(marked))
+        of = marked if n > 1 else word
+        own = [self.known.get("\t" + of[i:i + n]) for i in range(len(of) - n + 1)]
+        return self.model.seen[[k for k in own if k is not None]].sum(axis=0) / len(own)
+
     def row(self, word: str) -> int:
         k = self.known.get(word)
         if k is None and (k := self.seen.get(word)) is None:
             if len(self.seen) == CACHE:
                 self.seen.clear()
             k = self.seen[word] = len(self.known) + len(self.seen)
-            self.rows[k] = self.fall_back(word)
+            self.rows[k] = np.concatenate([self.fall_back(word), self.built(word)])
         return k
 
     def scores(self, text: str) -> np.ndarray | None:
-        """Sum of the scores of the text's words in each language; None without a letter."""
+        """Sums of the text's words' rows: score in each language, familiarity in each, and the number of words; None
+        without a letter."""
         count = Counter(WORD.findall(text.lower()))
         if not count:
             return None
-        total = np.zeros(len(self.model.langs))
+        total = np.zeros(self.rows.shape[1])
         words = list(count)
         for lo in range(0, len(words), CACHE // 2):     # a part's new words fit in the cache
             part = words[lo:lo + CACHE // 2]
@@ -91,36 +112,42 @@ class Scorer:
                 self.seen.clear()
             rows = np.fromiter(map(self.row, part), np.int64, len(part))
             total += np.fromiter(map(count.__getitem__, part), np.float64, len(part)) @ self.rows[rows]
-        return total
-
-    def predict(self, text: str | None) -> tuple[str, float]:
-        total = self.scores(text) if text and self.model.langs else None
-        if total is None:
-            return UNKNOWN, 0.0
+        return np.append(total, sum(count.values()))
+
+    def predict(self, text: str | None) -> tuple[str, float, float]:
+        """Language, confidence, and mean familiarity of the words in that language."""
+        sums, n = self.scores(text) if text and self.model.langs else None, len(self.model.langs)
+        if sums is None:
+            return UNKNOWN, 0.0, 0.0
+        total = sums[:n]
         p = np.exp(total - total.max())
         k = int(np.argmax(p))
-        return self.model.langs[k], float(p[k] / p.sum())
+        return self.model.langs[k], float(p[k] / p.sum()), float(sums[n + k] / sums[-1])
 
 
 _scorers: dict[str, Scorer] = {}
 
 
-def _predict(key: str, model: Broadcast, col: pa.Array) -> pa.Array:
+_FIELDS = {"lang": "string", "score": "double", "familiar": "double"}
+
+
+def _predict(key: str, model: Broadcast, col: pa.Array, n: int) -> pa.Array:
     """A Python worker builds a model's scorer once and keeps it."""
     if key not in _scorers:
         _scorers.clear()
         _scorers[key] = Scorer(model.value)
     got = [_scorers[key].predict(t.as_py()) for t in col]
-    return pa.StructArray.from_arrays([pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], ["lang", "score"])
+    cols = [pa.array([g[0] for g in got], pa.string()), *[pa.array([g[k] for g in got], pa.float64()) for k in range(1, n)]]
+    return pa.StructArray.from_arrays(cols, list(_FIELDS)[:n])
 
 
-def predicted(spark: SparkSession, text: Column, model: LanguageModel) -> Column:
-    """Struct column ``lang, score``."""
-    said, key = spark.sparkContext.broadcast(model), uuid.uuid4().hex
+def predicted(spark: SparkSession, text: Column, model: LanguageModel, familiar: bool = False) -> Column:
+    """Struct column ``lang, score``, and ``familiar`` if asked."""
+    said, key, n = spark.sparkContext.broadcast(model), uuid.uuid4().hex, 3 if familiar else 2
 
     def of(col: pa.Array) -> pa.Array:
-        return _predict(key, said, col)
-    return F.arrow_udf(of, "struct<lang:string,score:double>")(text)
+        return _predict(key, said, col, n)
+    return F.arrow_udf(of, "struct<" + ",".join(f"{k}:{t}" for k, t in list(_FIELDS.items())[:n]) + ">")(text)
 
 
 def units(texts: DataFrame, grams: int) -> DataFrame:
@@ -150,7 +177,7 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS,
     pick = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), F.lit(0)) < F.col("share") * (1 << 30)
     shares = {r.lang: r.share for r in share.collect()}                 # one number a language
     if not shares:
-        return LanguageModel([], [], np.empty((0, 0), np.float32), grams)
+        return LanguageModel([], [], np.empty((0, 0), np.float32), grams, np.empty((0, 0), bool))
     by_lang = F.create_map(*[x for k, v in sorted(shares.items()) for x in (F.lit(k), F.lit(v))])
     sample = own.withColumn("share", by_lang[F.col("lang")]).where(pick).select("lang", "text")
     counts = units(sample, grams)
@@ -167,12 +194,12 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS,
     for r in rows:
         n[index[("\t" if r.size else "") + r.unit], at[r.lang]] = r.n
         total[r.size, at[r.lang]] = r.total
-    return LanguageModel(langs, names, np.log((n + 0.5) / (total[sizes] + 0.5 * len(names))).astype(np.float32), grams)
+    return LanguageModel(langs, names, np.log((n + 0.5) / (total[sizes] + 0.5 * len(names))).astype(np.float32), grams, n > 0)
 
 
-def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", to: str = "_lang") -> DataFrame:
-    """``docs`` with the struct ``to``: lang and score."""
-    return docs.withColumn(to, predicted(docs.sparkSession, F.col(text_col), model))
+def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", to: str = "_lang", familiar: bool = False) -> DataFrame:
+    """``docs`` with the struct ``to``: lang and score, and familiar if asked."""
+    return docs.withColumn(to, predicted(docs.sparkSession, F.col(text_col), model, familiar))
 
 
 def held_out(doc_id: Column) -> Column:

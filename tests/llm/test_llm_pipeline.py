@@ -88,3 +88,21 @@ def test_shared_folder_is_the_configured_one(spark):
     base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert base is None or shared_dir(spark, "x").startswith(base)
     assert secrets.RULES
+
+
+def test_long_texts_of_no_learned_language_leave_and_short_clean_ones_stay(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang")
+    langs = sorted({r.lang for r in docs.select("lang").distinct().collect() if r.lang})
+    rng = np.random.default_rng(3)
+
+    def words(n):
+        return " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, rng.integers(2, 10))) for _ in range(n))
+    odd = ["kissa istuu matolla ja katselee hiljaa ikkunasta ulos kun lumi putoaa maahan " * 40, words(30), words(3000), "日本語の文章です " * 500]
+    short = [" ".join(language.WORD.findall(docs.where(F.col("lang") == x).orderBy("doc_id").first().text)[:6]) for x in langs]
+    rows = [(-1 - k, t, None) for k, t in enumerate(odd)] + [(-100 - k, t, None) for k, t in enumerate(short)]
+    every = docs.union(spark.createDataFrame(rows, docs.schema))
+    kept = {r.doc_id for r in C.language_id(spark, every, SF).collect()}
+    judged = language.identify(every, language.train(every)).where(F.col("_lang.score") >= C.MIN_LANGUAGE_SCORE)
+    assert not kept & {-1 - k for k in range(len(odd))}
+    assert {-1 - k for k in range(len(odd) - 1)} <= {r.doc_id for r in judged.collect()}         # the score alone lets them pass
+    assert kept >= {-100 - k for k in range(len(short))} | {r.doc_id for r in judged.where("doc_id >= 0").collect()}
