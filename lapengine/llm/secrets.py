@@ -58,8 +58,10 @@ BASE_RULES = (
     SecretRule("hex", r"[0-9a-f]{16,}", 16),
 )
 ADDED_RULES = (
-    SecretRule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\x20\x09-\x0D]*(?:-----END [A-Z ]*PRIVATE KEY-----)?",
-               gate=("private key-----",)),
+    # to the END line over any characters but another key's header (escaped line ends, Proc-Type headers); where there is none, the plain body
+    SecretRule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY(?: BLOCK)?-----(?:(?:(?!-----BEGIN [A-Z ]*PRIVATE KEY)[\s\S])*?"
+                      r"-----END [A-Z ]*PRIVATE KEY(?: BLOCK)?-----|[A-Za-z0-9+/=\x20\x09-\x0D]*)",
+               gate=("private key-----", "private key block-----")),
     SecretRule("github", r"gh[pousr]_[A-Za-z0-9]{36,255}", gate=("ghp_", "gho_", "ghu_", "ghs_", "ghr_")),
     SecretRule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", gate=("eyj",)),
 )

@@ -81,6 +81,22 @@ def test_added_rules_and_redaction(spark):
     assert out == {0: "a [secret] b", 1: "x [secret] y", 2: "j [secret] k", 3: "clean", 4: None, 5: "[secret] z"}
 
 
+def test_keys_with_headers_and_escapes_are_redacted_whole(spark):
+    from pyspark.sql import functions as F
+    escaped = '{"k": "-----BEGIN PRIVATE KEY-----\\nMIIabc+/=\\nQRS\\n-----END PRIVATE KEY-----\\n"}'
+    encrypted = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\nMIIabc+/=\n-----END RSA PRIVATE KEY-----"
+    pgp = "-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: X v1.0\n\nlQOYBF\n=aBcD\n-----END PGP PRIVATE KEY BLOCK-----"
+    cut = "-----BEGIN RSA PRIVATE KEY-----\nMIIabc+/=\n"
+    long = "-----BEGIN PRIVATE KEY-----" + "MIIabc\\n" * 100000 + "-----END PRIVATE KEY-----"
+    texts = [escaped, f"a {encrypted} b", f"a {pgp} b", f"{cut}. not a key: {pgp} b", f"x {long} y", f"{cut}- it ends: here", "é😀 " + encrypted + " z"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    ledger = shared_dir(spark, "t")
+    secrets.update(df, ledger)
+    out = dict(secrets.findings(df, ledger).select("doc_id", secrets.redact(F.col("text"), F.col("secret_spans"))).collect())
+    assert out == {0: '{"k": "[secret]\\n"}', 1: "a [secret] b", 2: "a [secret] b", 3: "[secret]. not a key: [secret] b", 4: "x [secret] y",
+                   5: "[secret]- it ends: here", 6: "é😀 [secret] z"}
+
+
 def test_query_is_brute_force(spark):
     docs = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
     got = QUERIES["op6_secret_scans"](spark, SF).collect()
