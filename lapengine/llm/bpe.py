@@ -18,8 +18,8 @@ bytes as symbols, the last one marked as a word end.
 3. Compatibility is looked up in a table that is filled as pairs turn up, by
    walking the pieces on both sides of the seam in the order of their ranks.
 
-A worker keeps the ids of the words it has seen, up to ``KEPT_WORDS``; that
-saves time and changes no result.  Decoding gathers each id's bytes from one
+A worker keeps the ids of the words it has seen, up to ``KEPT_WORDS`` and as
+many that came before; that saves time and changes no result.  Decoding gathers each id's bytes from one
 buffer by an offset table and puts a space between tokens, as the library
 does for a file without a decoder.
 
@@ -107,10 +107,12 @@ def load(path: str = MODEL) -> dict:
 
 
 class Words(dict):
-    """Number of each word seen; ``ids`` and ``off`` hold their tokens one after another."""
+    """Number of each word seen; ``ids`` and ``off`` hold their tokens one after another.  Words of the ``older`` ones are copied."""
 
-    def __init__(self, bpe: Bpe) -> None:
-        self.bpe, self.ids, self.off = bpe, array("i"), array("q", [0])
+    def __init__(self, bpe: Bpe, older: Words | None = None) -> None:
+        self.bpe, self.ids, self.off, self.older = bpe, array("i"), array("q", [0]), older
+        if older is not None:
+            older.older = None
 
     def put(self, word: str, ids: list[int]) -> int:
         self.ids.extend(ids)
@@ -119,6 +121,8 @@ class Words(dict):
         return self[word]
 
     def __missing__(self, word: str) -> int:
+        if self.older is not None and (k := self.older.get(word)) is not None:
+            return self.put(word, self.older.ids[self.older.off[k]:self.older.off[k + 1]])
         return self.put(word, self.bpe.word_ids(word.encode()))
 
 
@@ -153,16 +157,20 @@ class Bpe:
             if x not in symbols or y not in symbols or not self.compatible(x, y, rank[t]):
                 del symbols[t]
         self.seam.clear()
-        self.length = {t: len(s) for t, s in symbols.items()}
+        self.length, self.shorter = [0] * size, [-1] * size
         by_symbols = {s: t for t, s in symbols.items()}
         self.longest = ahocorasick.Automaton(ahocorasick.STORE_INTS)
         for s, t in by_symbols.items():
             self.longest.add_word(s[::-1], t)
         self.longest.make_automaton()
-        self.shorter = {t: next((by_symbols[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in by_symbols), -1) for s, t in by_symbols.items()}
+        for s, t in by_symbols.items():
+            self.length[t] = len(s)
+            self.shorter[t] = next((by_symbols[s[:k]] for k in range(len(s) - 1, 0, -1) if s[:k] in by_symbols), -1)
         self.lower = said["lower"]
         odd = ranges(map(ord, said["not_letters"]))
         self.rare = re.compile(f"[{ranges(self.lower)}{odd}]") if self.lower or odd else None
+        least = min([*self.lower, *map(ord, said["not_letters"])], default=sys.maxunicode)
+        self.late = re.compile(f"[{chr(least)}-{chr(sys.maxunicode)}]")     # quicker to look for, and most texts have none
         self.split = regex.compile(SPLIT)
         minus = f"--[{odd}]" if odd else ""
         self.rare_split = regex.compile(rf"(?V1)'s|'t|'re|'ve|'m|'ll|'d|[\p{{L}}{minus}]+|[\p{{N}}{minus}]|[^\s[[\p{{L}}\p{{N}}]{minus}]]+")
@@ -198,35 +206,38 @@ class Bpe:
                 j += 1
 
     def fits(self, a: int, b: int) -> bool:
-        key = a * self.size + b
-        if (had := self.seam.get(key)) is None:
-            if len(self.seam) >= KEPT_PAIRS:
-                self.seam.clear()
-            had = self.seam[key] = self.compatible(a, b)
-        return had
+        """Fills in the pair's place in the table."""
+        if len(self.seam) >= KEPT_PAIRS:
+            self.seam.clear()
+        ok = self.seam[a * self.size + b] = self.compatible(a, b)
+        return ok
 
     def word_ids(self, word: bytes) -> list[int]:
-        n, length, shorter = len(word), self.length, self.shorter
+        n, length, shorter, size, known = len(word), self.length, self.shorter, self.size, self.seam.get
         backwards = chr(word[-1] + WORD_END) + word[-2::-1].decode("latin-1") if n > 1 else chr(word[-1] + WORD_END)
-        start = [-1] * n                                        # the longest token that starts at each place
-        for end, t in self.longest.iter(backwards):
-            k = n - 1 - end
-            if start[k] < 0 or length[t] > length[start[k]]:
-                start[k] = t
+        # matches with one end come longest first, so of the reversed list the longest ones stay: last place in the word -> token
+        start = dict([*self.longest.iter(backwards)][::-1])
         out: list[int] = []
-        dead = bytearray(n + 1)
-        at, t = 0, start[0]
+        dead: set[int] = set()
+        at, before, t = 0, -1, start[n - 1]
         while at < n:
-            while t >= 0 and (dead[at + length[t]] or out and not self.fits(out[-1], t)):
+            while t >= 0:
+                if not dead or at + length[t] not in dead:
+                    if before < 0:
+                        break
+                    ok = known(before * size + t)
+                    if ok or ok is None and self.fits(before, t):
+                        break
                 t = shorter[t]
             if t >= 0:
                 out.append(t)
                 at += length[t]
-                t = start[at] if at < n else -1
+                before, t = t, start[n - 1 - at] if at < n else -1
             else:                                               # no way on from here
-                dead[at] = 1
+                dead.add(at)
                 t = out.pop()
                 at -= length[t]
+                before = out[-1] if out else -1
         return out
 
     def split_words(self, text: str) -> list[str]:
@@ -234,7 +245,7 @@ class Bpe:
         if text.isascii():
             return ASCII_SPLIT.findall(text.lower())
         text = unicodedata.normalize("NFC", text)
-        rare = self.rare is not None and self.rare.search(text)
+        rare = self.rare is not None and self.late.search(text) and self.rare.search(text)
         text = text.replace("Σ", "σ").lower()                   # a final sigma only by its neighbours, which the library doesn't see
         return self.rare_split.findall(text.translate(self.lower)) if rare else self.split.findall(text)
 
@@ -258,7 +269,7 @@ class Bpe:
         while lo < rows:
             hi = min(rows, max(lo + 1, int(np.searchsorted(off, off[lo] + CHUNK, "right")) - 1))
             if len(self.words) > KEPT_WORDS or len(self.words.ids) > 4 * KEPT_WORDS:
-                self.words = Words(self)
+                self.words = Words(self, self.words)
             rows_words = [np.array(self.numbers(data[a:b].tobytes().decode()), np.int64)
                           for a, b in zip(off[lo:hi].tolist(), off[lo + 1:hi + 1].tolist(), strict=True)]
             flat, at = np.frombuffer(self.words.ids, np.int32) if self.words.ids else np.empty(0, np.int32), np.frombuffer(self.words.off, np.int64)
