@@ -10,13 +10,12 @@ learned languages and nears 1 for any long text; ``familiar``, the words' mean
 familiarity in the predicted language, does not depend on length and tells a
 text of none of them.
 
-Training is bounded by parameters: about ``MAX_DOCS`` documents a language (a
-hashed share), and of what they hold the ``MAX_WORDS`` commonest words and
-``MAX_GRAMS`` commonest n-grams of each length and language.  Prediction reads
-whole texts and nothing but the text.
+Training is bounded by parameters: a hashed share of a language's labelled
+documents, about ``MAX_DOCS`` of them or ``MAX_CHARS`` characters; all words and
+n-grams of those count.  Prediction reads whole texts and nothing but the text.
 
-Defined cases: a null text, or one without a letter, is ``und`` with score 0;
-so is every text if nothing can be learned.  A text of letters of which the
+Defined cases: a null text, or one without a letter (Unicode category L; signs
+like ``½`` are numbers), is ``und`` with score 0; so is every text if nothing can be learned.  A text of letters of which the
 model knows nothing, or a tie, takes the first language by name.  Rows whose
 lang or text is null are not learned from.  Repeated rows are judged row by
 row.  Other columns are not read.
@@ -31,17 +30,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lapengine.llm.registry import register, table
 
-MAX_DOCS, MAX_WORDS, MAX_GRAMS, GRAMS = 1500, 30_000, 8_000, 4
+MAX_DOCS, MAX_CHARS, GRAMS = 1500, 2_000_000, 4
 CACHE = 100_000
 UNKNOWN = "und"
-# one definition of a word for training (Java) and prediction (Python): a run of letters
-WORD = re.compile(r"[^\W\d_]+")
+
+
+# a word, in training and prediction alike: a run of letters
+WORD, ASCII_WORD = regex.compile(r"\p{L}+"), re.compile("[a-z]+")
+
+
+def words_of(text: str) -> list[str]:
+    text = text.lower()
+    return (ASCII_WORD if text.isascii() else WORD).findall(text)
 
 
 @dataclass(frozen=True)
@@ -56,21 +63,31 @@ class LanguageModel:
     seen: np.ndarray
 
 
+class _Rows(dict):
+    """Row number of each word met."""
+
+    def __init__(self, scorer: Scorer) -> None:
+        self.scorer = scorer
+
+    def __missing__(self, word: str) -> int:
+        k = self[word] = self.scorer.row(word)
+        return k
+
+
 class Scorer:
-    """Scores words with a model; keeps the latest unseen words' scores.
+    """Scores words with a model; keeps the latest words' rows.
 
-    A row holds a word's score in each language, then how familiar it is there: 1 for a word
-    that was seen in the language, else the share of its longest n-grams that were.
+    A row holds a word's score in each language and, with ``familiar``, how familiar it is there: 1
+    for a word that was seen in the language, else the share of its longest n-grams that were.
     """
 
-    def __init__(self, model: LanguageModel) -> None:
-        self.model, self.known = model, dict(zip(model.units, range(len(model.units)), strict=True))
-        own = np.concatenate([model.scores, model.seen], axis=1, dtype=np.float32)
-        for word, k in self.known.items():      # a word of another language may still be built like this one's
-            if word[0] != "\t" and not model.seen[k].all():
-                own[k, len(model.langs):] = np.maximum(model.seen[k], self.built(word))
+    def __init__(self, model: LanguageModel, familiar: bool = True) -> None:
+        self.model, self.familiar, self.known = model, familiar, dict(zip(model.units, range(len(model.units)), strict=True))
+        own = np.concatenate([model.scores, model.seen], axis=1, dtype=np.float32) if familiar else model.scores
         self.rows = np.concatenate([own, np.zeros((CACHE, own.shape[1]), np.float32)])
-        self.seen: dict[str, int] = {}
+        # a known word of another language may still be built like this one's: filled in when it is met
+        self.open = ~model.seen.all(axis=1) if familiar else np.zeros(len(own), bool)
+        self.met, self.unseen = _Rows(self), 0
 
     def fall_back(self, word: str) -> np.ndarray:
         marked = f"<{word}>"
@@ -90,39 +107,43 @@ class Scorer:
         return self.model.seen[[k for k in own if k is not None]].sum(axis=0) / len(own)
 
     def row(self, word: str) -> int:
-        k = self.known.get(word)
-        if k is None and (k := self.seen.get(word)) is None:
-            if len(self.seen) == CACHE:
-                self.seen.clear()
-            k = self.seen[word] = len(self.known) + len(self.seen)
-            self.rows[k] = np.concatenate([self.fall_back(word), self.built(word)])
+        k, n = self.known.get(word), len(self.model.langs)
+        if k is None:
+            k, self.unseen = len(self.known) + self.unseen, self.unseen + 1
+            self.rows[k, :n] = self.fall_back(word)
+            if self.familiar:
+                self.rows[k, n:] = self.built(word)
+        elif self.open[k]:
+            self.rows[k, n:] = np.maximum(self.model.seen[k], self.built(word))
+            self.open[k] = False
         return k
 
     def scores(self, text: str) -> np.ndarray | None:
         """Sums of the text's words' rows: score in each language, familiarity in each, and the number of words; None
         without a letter."""
-        count = Counter(WORD.findall(text.lower()))
+        count = Counter(words_of(text))
         if not count:
             return None
         total = np.zeros(self.rows.shape[1])
         words = list(count)
         for lo in range(0, len(words), CACHE // 2):     # a part's new words fit in the cache
             part = words[lo:lo + CACHE // 2]
-            if len(self.seen) > CACHE // 2:
-                self.seen.clear()
-            rows = np.fromiter(map(self.row, part), np.int64, len(part))
+            if len(self.met) > CACHE // 2:
+                self.met.clear()
+                self.unseen = 0
+            rows = np.fromiter(map(self.met.__getitem__, part), np.int64, len(part))
             total += np.fromiter(map(count.__getitem__, part), np.float64, len(part)) @ self.rows[rows]
         return np.append(total, sum(count.values()))
 
     def predict(self, text: str | None) -> tuple[str, float, float]:
-        """Language, confidence, and mean familiarity of the words in that language."""
+        """Language, confidence, and mean familiarity of the words in that language (0 if not asked for)."""
         sums, n = self.scores(text) if text and self.model.langs else None, len(self.model.langs)
         if sums is None:
             return UNKNOWN, 0.0, 0.0
         total = sums[:n]
         p = np.exp(total - total.max())
         k = int(np.argmax(p))
-        return self.model.langs[k], float(p[k] / p.sum()), float(sums[n + k] / sums[-1])
+        return self.model.langs[k], float(p[k] / p.sum()), float(sums[n + k] / sums[-1]) if self.familiar else 0.0
 
 
 _scorers: dict[str, Scorer] = {}
@@ -135,7 +156,7 @@ def _predict(key: str, model: Broadcast, col: pa.Array, n: int) -> pa.Array:
     """A Python worker builds a model's scorer once and keeps it."""
     if key not in _scorers:
         _scorers.clear()
-        _scorers[key] = Scorer(model.value)
+        _scorers[key] = Scorer(model.value, n == len(_FIELDS))
     got = [_scorers[key].predict(t.as_py()) for t in col]
     cols = [pa.array([g[0] for g in got], pa.string()), *[pa.array([g[k] for g in got], pa.float64()) for k in range(1, n)]]
     return pa.StructArray.from_arrays(cols, list(_FIELDS)[:n])
@@ -153,7 +174,7 @@ def predicted(spark: SparkSession, text: Column, model: LanguageModel, familiar:
 def units(texts: DataFrame, grams: int) -> DataFrame:
     """``lang, size (0: word), unit, n``: counts of words and of their n-grams."""
     def words(col: pa.Array) -> pa.Array:
-        return pa.array([WORD.findall((t.as_py() or "").lower()) for t in col], pa.list_(pa.string()))
+        return pa.array([words_of(t.as_py() or "") for t in col], pa.list_(pa.string()))
     word = (texts.select("lang", F.explode(F.arrow_udf(words, "array<string>")(F.col("text"))).alias("w"))
             .groupBy("lang", "w").agg(F.count(F.lit(1)).alias("n")))
     marked = F.concat(F.lit("<"), "w", F.lit(">"))
@@ -169,32 +190,29 @@ def _grams(of: Column, size: int) -> Column:
     return F.transform(at, lambda i: F.struct(F.lit(size).alias("size"), of.substr(i, F.lit(size)).alias("unit")))
 
 
-def train(docs: DataFrame, max_docs: int = MAX_DOCS, max_words: int = MAX_WORDS, max_grams: int = MAX_GRAMS,
-          grams: int = GRAMS) -> LanguageModel:
+def train(docs: DataFrame, max_docs: int = MAX_DOCS, max_chars: int = MAX_CHARS, grams: int = GRAMS) -> LanguageModel:
     """Learn from ``docs(doc_id, text, lang)``."""
     own = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text", "lang")
-    share = own.groupBy("lang").agg(F.least(F.lit(1.0), max_docs / F.count(F.lit(1))).alias("share"))
+    chars = F.greatest(F.sum(F.length("text").cast("long")), F.lit(1))
+    share = own.groupBy("lang").agg(F.least(F.lit(1.0), max_docs / F.count(F.lit(1)), max_chars / chars).alias("share"))
     pick = F.coalesce(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), F.lit(0)) < F.col("share") * (1 << 30)
     shares = {r.lang: r.share for r in share.collect()}                 # one number a language
     if not shares:
         return LanguageModel([], [], np.empty((0, 0), np.float32), grams, np.empty((0, 0), bool))
     by_lang = F.create_map(*[x for k, v in sorted(shares.items()) for x in (F.lit(k), F.lit(v))])
     sample = own.withColumn("share", by_lang[F.col("lang")]).where(pick).select("lang", "text")
-    counts = units(sample, grams)
-    rank = F.row_number().over(Window.partitionBy("lang", "size").orderBy(F.desc("n"), "unit"))
-    top = (counts.withColumn("total", F.sum("n").over(Window.partitionBy("lang", "size"))).withColumn("rank", rank)
-           .where(F.col("rank") <= F.when(F.col("size") == 0, max_words).otherwise(max_grams)))
-    rows = top.select("lang", "size", "unit", "n", "total").collect()   # at most max_words + grams * max_grams a language
+    # words and n-grams of the sample: about max_chars characters a language at most
+    rows = units(sample, grams).select("lang", "size", F.concat(F.when(F.col("size") == 0, F.lit("")).otherwise(F.lit("\t")), "unit").alias("unit"), "n").toArrow()
     langs = sorted(shares)
-    at = {x: k for k, x in enumerate(langs)}
-    names = sorted({("\t" if r.size else "") + r.unit for r in rows})
-    index = {x: k for k, x in enumerate(names)}
-    sizes = np.array([0 if x[0] != "\t" else len(x) - 1 for x in names], np.int64)
-    n, total = np.zeros((len(names), len(langs))), np.ones((grams + 1, len(langs)))
-    for r in rows:
-        n[index[("\t" if r.size else "") + r.unit], at[r.lang]] = r.n
-        total[r.size, at[r.lang]] = r.total
-    return LanguageModel(langs, names, np.log((n + 0.5) / (total[sizes] + 0.5 * len(names))).astype(np.float32), grams, n > 0)
+    said, unit = (rows[c].combine_chunks().dictionary_encode() for c in ("lang", "unit"))
+    lang = np.array([langs.index(x) for x in said.dictionary.to_pylist()], np.int64)[said.indices.to_numpy()]
+    size, count = rows["size"].to_numpy(), rows["n"].to_numpy()
+    names, sizes, at = unit.dictionary.to_pylist(), np.zeros(len(unit.dictionary), np.int64), unit.indices.to_numpy()
+    sizes[at] = size
+    n, total = np.zeros((len(names), len(langs))), np.zeros((grams + 1, len(langs)))
+    n[at, lang] = count
+    np.add.at(total, (size, lang), count)
+    return LanguageModel(langs, names, np.log((n + 0.5) / (np.maximum(total, 1)[sizes] + 0.5 * len(names))).astype(np.float32), grams, n > 0)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text", to: str = "_lang", familiar: bool = False) -> DataFrame:
