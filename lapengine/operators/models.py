@@ -20,6 +20,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lapengine.operators import boosting
 from lapengine.operators.aggregates import regression_metrics
 from lapengine.operators.clean import complete_cases
 from lapengine.schemas import require_columns
@@ -106,6 +107,21 @@ def model_zoo(custom: dict | None = None) -> dict[str, Callable[[], object]]:
     }
 
 
+def tree_zoo(custom: dict | None = None) -> dict[str, boosting.TreeSettings]:
+    """F10, F11, F13, F14 on all rows of any table, at the reference's settings and the external libraries' own defaults.
+
+    A forest's trees are not bounded in depth, but grow no more than ``FOREST_LEAVES`` leaves, best first: what a model
+    holds must not grow with the table that it is fitted on.
+    """
+    c, tree = custom or {}, boosting.TreeSettings
+    return {
+        "RandomForest": tree(c.get("n_estimators", 300), depth=c.get("max_depth"), leaves=boosting.FOREST_LEAVES),
+        "GradientBoosting": tree(100, 0.1, depth=3),
+        "XGBoost": tree(c.get("n_estimators", 400), c.get("learning_rate", 0.05), depth=c.get("max_depth", 4), rows=0.9, columns=0.9, l2=1.0),
+        "LightGBM": tree(400, 0.05, leaves=31, rows=0.9, columns=0.9, least_rows=20),
+    }
+
+
 def single_model(model_type: str, params: dict) -> Callable[[], object]:
     """F19's regressor: the library defaults of each type, overridden by ``params``; other types are a 100-tree forest."""
     p = params
@@ -127,19 +143,13 @@ def fit_pipeline(df: DataFrame, num_cols: list[str], cat_cols: list[str], estima
     return make_pipeline(num_cols, cat_cols, estimator, df.count()).fit(df)
 
 
-def bounded_rows(df: DataFrame, key: str, most: int) -> DataFrame:
-    """A hashed share of ``df`` of about ``most`` rows: a documented bound on what an expensive model is fitted on."""
-    share = min(1.0, most / max(1, df.count()))
-    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < int(share * (1 << 30)))
-
-
 @dataclass
 class CvResult:
     name: str
     metrics: DataFrame          # one row: model, MAE, RMSE, R2 (means over folds)
     fold_metrics: DataFrame     # one row per fold
     predictions: DataFrame      # inputs + y_true, y_pred, fold
-    model: PipelineModel | None
+    model: PipelineModel | boosting.Ensemble | None
 
 
 def _checkpointed(df: DataFrame) -> DataFrame:
@@ -150,11 +160,10 @@ def _checkpointed(df: DataFrame) -> DataFrame:
 
 def cross_validate(df: DataFrame, name: str, estimator_factory: Callable[[], object], num_cols: list[str],
                    cat_cols: list[str], key: str, target: str = TARGET, k: int = 5,
-                   refit: bool = True, parallelism: int = 5, fit_rows: int | None = None) -> CvResult:
+                   refit: bool = True, parallelism: int = 5) -> CvResult:
     """F16: K-fold: fit on k-1 folds (preprocessing included), predict the rest.
 
-    ``fit_rows`` bounds each fit to a hashed share of its rows (``bounded_rows``);
-    every row is predicted and measured all the same.  The fold-tagged input is checkpointed to the cluster's checkpoint
+    The fold-tagged input is checkpointed to the cluster's checkpoint
     directory once (lineage cut, survives executor loss) and reused by all
     ``k`` fits and the final refit on all rows.
     """
@@ -162,8 +171,7 @@ def cross_validate(df: DataFrame, name: str, estimator_factory: Callable[[], obj
     data = _checkpointed(data)
 
     def fitted(rows: DataFrame) -> PipelineModel:
-        own = rows if fit_rows is None else bounded_rows(rows, key, fit_rows)
-        return fit_pipeline(own, num_cols, cat_cols, estimator_factory())
+        return fit_pipeline(rows, num_cols, cat_cols, estimator_factory())
 
     def fold_predictions(f: int) -> DataFrame:
         m = fitted(data.where(F.col("fold") != f))
@@ -185,6 +193,38 @@ def cross_validate(df: DataFrame, name: str, estimator_factory: Callable[[], obj
     return CvResult(name, mean, fm, preds, final)
 
 
+def cross_validate_trees(df: DataFrame, settings: dict[str, boosting.TreeSettings], num_cols: list[str], cat_cols: list[str], key: str,
+                         target: str = TARGET, k: int = 5, refit: bool = False) -> dict[str, CvResult]:
+    """F16 of tree models: every model is fitted on all rows of the other folds, all models and folds in the same passes.
+
+    ``model`` of a result (with ``refit``) is an ``Ensemble`` over binned rows, see ``boosting.predicted``.
+    """
+    from lapengine.streaming.ingest import shared_dir
+    data = _checkpointed(with_fold(df.withColumn("label", F.col(target).cast("double")), key, k))
+    binning = boosting.find_bins(data, num_cols, cat_cols)
+    blocks = boosting.blocks_of(data, binning, key, shared_dir(df.sparkSession, "bins"))
+    folds = [*range(k), *([-1] if refit else [])]
+    fitted = iter(boosting.fit(blocks, binning.sizes, [(s, f) for s in settings.values() for f in folds]))
+    out = {}
+    for name in settings:
+        by_fold = {f: next(fitted) for f in folds}
+        preds = data.select(*df.columns, "fold", F.col("label").alias("y_true"), boosting.predicted(data, binning, by_fold, F.col("fold")).alias("y_pred"))
+        fm = regression_metrics(preds, by=["fold"])
+        mean = fm.agg(*[F.avg(c).alias(c) for c in ("MAE", "RMSE", "R2")]).select(F.lit(name).alias("model"), "MAE", "RMSE", "R2")
+        out[name] = CvResult(name, mean, fm, preds, by_fold.get(-1))
+    return out
+
+
+def fit_trees(df: DataFrame, settings: boosting.TreeSettings, num_cols: list[str], cat_cols: list[str], key: str,
+              target: str = TARGET) -> tuple[boosting.Ensemble, boosting.Binning]:
+    """One tree model on all rows of ``df``, and the bins of its inputs."""
+    from lapengine.streaming.ingest import shared_dir
+    data = df.select(key, *num_cols, *cat_cols, F.col(target).cast("double").alias("label"), F.lit(0).alias("fold"))
+    binning = boosting.find_bins(data, num_cols, cat_cols)
+    blocks = boosting.blocks_of(data, binning, key, shared_dir(df.sparkSession, "bins"))
+    return boosting.fit(blocks, binning.sizes, [(settings, -1)])[0], binning
+
+
 def select_best(metrics: DataFrame, order: list[str] = MODEL_ORDER) -> DataFrame:
     """lowest MAE; a tie goes to the model listed first."""
     rank = F.array_position(F.array(*[F.lit(m) for m in order]), F.col("model"))

@@ -398,14 +398,13 @@ def f16_cv_lasso(spark, sf):
     return cv.metrics
 
 
-# Rows that each full-size tree model is fitted on, on average at most: a bound on fitting time, not on scoring.
-ZOO_ROWS = 600
-
-
-def _zoo_metrics(spark, sf, name):
-    """5-fold metrics of a full-size model over all rows; Lasso is fitted on all rows of the other folds too."""
-    return ml.cross_validate(_model_data(spark, sf), name, ml.model_zoo()[name], NUM_MODEL, CAT_MODEL, "lap_id", TARGET, 5,
-                             refit=False, fit_rows=None if name == "Lasso" else ZOO_ROWS).metrics
+def _zoo_cv(spark, sf, names):
+    """5-fold results of full-size models, fitted on all rows of the other folds; the tree models share their passes."""
+    data, trees = _model_data(spark, sf), {n: s for n, s in ml.tree_zoo().items() if n in names}
+    out = ml.cross_validate_trees(data, trees, NUM_MODEL, CAT_MODEL, "lap_id", TARGET, 5) if trees else {}
+    if "Lasso" in names:
+        out["Lasso"] = ml.cross_validate(data, "Lasso", ml.model_zoo()["Lasso"], NUM_MODEL, CAT_MODEL, "lap_id", TARGET, 5, refit=False)
+    return out
 
 
 def _beats_mean(spark, sf, name):
@@ -413,7 +412,7 @@ def _beats_mean(spark, sf, name):
     data = _model_data(spark, sf)
     mean = one_row(data.agg(F.avg(TARGET).alias("m")))["m"]
     base = one_row(data.agg(F.avg(F.abs(F.col(TARGET) - F.lit(mean))).alias("m")))["m"]
-    return _zoo_metrics(spark, sf, name).select("model", (F.col("MAE") < F.lit(base)).alias("beats_mean"))
+    return _zoo_cv(spark, sf, [name])[name].metrics.select("model", (F.col("MAE") < F.lit(base)).alias("beats_mean"))
 
 
 def _register_model(query: str, name: str) -> None:
@@ -425,14 +424,26 @@ def _register_model(query: str, name: str) -> None:
 MODEL_QUERIES = dict(zip(("f10_random_forest", "f11_gradient_boosting", "f12_lasso", "f13_boosted_xgb", "f14_boosted_lgbm"), ml.MODEL_ORDER))
 for _query, _name in MODEL_QUERIES.items():
     _register_model(_query, _name)
+
+
+def _register_folds(query: str, name: str) -> None:
+    @register(query)
+    def run(spark, sf):
+        return _zoo_cv(spark, sf, [name])[name].fold_metrics.select(F.lit(name).alias("model"), "fold", "MAE", "RMSE", "R2", "n")
+
+
+for _query, _name in (("f10_random_forest_folds", "RandomForest"), ("f11_gradient_boosting_folds", "GradientBoosting"),
+                      ("f13_boosted_xgb_folds", "XGBoost"), ("f14_boosted_lgbm_folds", "LightGBM")):
+    _register_folds(_query, _name)
+    MODEL_QUERIES[_query] = _name
 MODEL_QUERIES["f10_f14_model_zoo"] = "all"
 
 
 @register("f10_f14_model_zoo")
 def f10_f14_model_zoo(spark, sf):
-    """F10-F14 + F16 + F17 + A16: metrics of every full-size model, scored on all rows, the best one flagged."""
-    ms = [_zoo_metrics(spark, sf, name) for name in ml.MODEL_ORDER]
-    return sinks.metrics_table(reduce(DataFrame.unionByName, ms), ml.MODEL_ORDER)
+    """F10-F14 + F16 + F17 + A16: metrics of every full-size model, fitted and scored on all rows, the best one flagged."""
+    cvs = _zoo_cv(spark, sf, ml.MODEL_ORDER)
+    return sinks.metrics_table(reduce(DataFrame.unionByName, [cvs[n].metrics for n in ml.MODEL_ORDER]), ml.MODEL_ORDER)
 
 
 @register("a16_metrics_document")
@@ -500,10 +511,10 @@ def f22_linear_attribution(spark, sf):
 
 @register("f22_permutation_importance")
 def f22_permutation_importance(spark, sf):
-    """F22 for trees: permutation importance of the full-size forest, fitted on about ZOO_ROWS rows and measured on all."""
-    data = _model_data(spark, sf).withColumn("label", F.col(TARGET))
-    model = ml.fit_pipeline(ml.bounded_rows(data, "lap_id", ZOO_ROWS), NUM_MODEL, CAT_MODEL, ml.model_zoo()["RandomForest"]())
-    return attr.permutation_importance(model, data, NUM_MODEL, "label", "lap_id")
+    """F22 for trees: permutation importance of every input of the full-size forest, fitted and measured on all rows."""
+    data = _model_data(spark, sf)
+    model, binning = ml.fit_trees(data, ml.tree_zoo()["RandomForest"], NUM_MODEL, CAT_MODEL, "lap_id", TARGET)
+    return attr.ensemble_permutation_importance(model, binning, data, NUM_MODEL, TARGET, "lap_id")
 
 
 # ------------------------------------------------------------------ streaming

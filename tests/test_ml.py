@@ -2,6 +2,7 @@
 
 import json
 import os
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -182,59 +183,81 @@ def test_tree_importances_ranked(spark):
 
 @pytest.fixture()
 def small_zoo(monkeypatch):
-    """The model queries with small models; gives the cross-validations that they ran and the rows of each fit."""
+    """The model queries with small models; gives the cross-validations that they ran and the rows that each fit was given."""
+    from lapengine.operators import boosting as bo
     from lapengine.plans import queries_ml as qm
-    zoo, run, fit, cvs, fits = ml.model_zoo(), ml.cross_validate, ml.fit_pipeline, {}, []
-    small = {k: zoo[k] if k == "Lasso" else (lambda: ml._forest(3, 4)) for k in ml.MODEL_ORDER}
+    run, trees, fit, fit_trees, cvs, fits = ml.cross_validate, ml.cross_validate_trees, ml.fit_pipeline, bo.fit, {}, []
+    small = {n: replace(s, trees=3, leaves=8) for n, s in ml.tree_zoo().items()}
 
     def seen(df, name, *args, **kw):
         cvs[name] = run(df, name, *args, **kw)
         return cvs[name]
 
+    def seen_trees(*args, **kw):
+        cvs.update(out := trees(*args, **kw))
+        return out
+
     def fitted(df, *args):
         fits.append(df.count())
         return fit(df, *args)
-    monkeypatch.setattr(ml, "model_zoo", lambda: small)
+
+    def fitted_trees(blocks, *args, **kw):
+        fits.append(blocks.map(lambda b: len(b.y)).sum())
+        return fit_trees(blocks, *args, **kw)
+    monkeypatch.setattr(ml, "tree_zoo", lambda: small)
     monkeypatch.setattr(ml, "cross_validate", seen)
+    monkeypatch.setattr(ml, "cross_validate_trees", seen_trees)
     monkeypatch.setattr(ml, "fit_pipeline", fitted)
+    monkeypatch.setattr(bo, "fit", fitted_trees)
     return qm, cvs, fits
 
 
-def test_model_queries_score_every_row(spark, small_zoo):
+def test_model_queries_fit_and_score_every_row(spark, small_zoo):
     qm, cvs, fits = small_zoo
     n = qm._model_data(spark, SF_SMALL).count()
-    assert n > 2 * qm.ZOO_ROWS
-    for query, name in (("f10_random_forest", "RandomForest"), ("f12_lasso", "Lasso")):
+    for query, name in (("f10_random_forest", "RandomForest"), ("f14_boosted_lgbm", "LightGBM"), ("f12_lasso", "Lasso")):
         fits.clear()
         assert QUERIES[query](spark, SF_SMALL).first().model == name
         assert cvs[name].predictions.count() == n and cvs[name].predictions.select("lap_id").distinct().count() == n
-        if name == "Lasso":
-            assert sum(fits) == 4 * n
-        else:
-            assert all(abs(m - qm.ZOO_ROWS) < 150 for m in fits)
+        assert sum(fits) == (4 * n if name == "Lasso" else n)   # trees: one matrix for all folds
+    got = QUERIES["f13_boosted_xgb_folds"](spark, SF_SMALL).toPandas()
+    p = cvs["XGBoost"].predictions.toPandas()
+    want = {f: ((g.y_true - g.y_pred).abs().mean(), len(g)) for f, g in p.groupby("fold")}
+    assert set(got.fold) == set(range(5)) and all(np.allclose((r.MAE, r.n), want[r.fold], atol=1e-6) for r in got.itertuples())
 
 
 def test_model_zoo_gives_the_metrics_and_the_best(spark, small_zoo):
-    qm, cvs, _ = small_zoo
+    qm, cvs, fits = small_zoo
     got = QUERIES["f10_f14_model_zoo"](spark, SF_SMALL).collect()
     assert {(r.model, r.metric) for r in got} == {(m, k) for m in ml.MODEL_ORDER for k in ("MAE", "RMSE", "R2")} and len(got) == 15
-    p = cvs["Lasso"].predictions.toPandas()
-    want = (p.y_true - p.y_pred).abs().groupby(p.fold).mean().mean()
-    assert np.isclose(next(r.value for r in got if (r.model, r.metric) == ("Lasso", "MAE")), want, atol=1e-6)
+    for name in ("Lasso", "LightGBM"):
+        p = cvs[name].predictions.toPandas()
+        want = (p.y_true - p.y_pred).abs().groupby(p.fold).mean().mean()
+        assert np.isclose(next(r.value for r in got if (r.model, r.metric) == (name, "MAE")), want, atol=1e-6)
     mae = {r.model: r.value for r in got if r.metric == "MAE"}
     assert {r.model for r in got if r.is_best} == {min(ml.MODEL_ORDER, key=mae.get)}
+    assert len(fits) == 6                                   # all tree models share one matrix
 
 
 def test_permutation_importance_query_measures_every_row(spark, small_zoo, monkeypatch):
     qm, _, fits = small_zoo
-    measured, run = [], attr.permutation_importance
-
-    def seen(model, df, *args):
-        measured.append(df.count())
-        return run(model, df, *args)
-    monkeypatch.setattr(attr, "permutation_importance", seen)
+    n, run, seen = qm._model_data(spark, SF_SMALL).count(), attr.ensemble_permutation_importance, []
+    monkeypatch.setattr(attr, "ensemble_permutation_importance", lambda m, b, df, *args: seen.append((m, b, df.count())) or run(m, b, df, *args))
     got = QUERIES["f22_permutation_importance"](spark, SF_SMALL).collect()
-    n = qm._model_data(spark, SF_SMALL).count()
-    assert measured == [n] and n // 1000 > 1                # several buckets
-    assert len(fits) == 1 and abs(fits[0] - qm.ZOO_ROWS) < 150
+    assert fits == [n] and seen[0][2] == n and n // 1000 > 1    # several buckets
     assert got[0].feature == "Avg_Speed_mps" and len(got) == len(qm.NUM_MODEL)
+
+
+def test_permutation_in_one_pass_equals_a_join_a_feature(spark):
+    from lapengine.operators import boosting as bo
+    data = _data(spark).withColumn("label", F.col("TargetTime"))
+    model, binning = ml.fit_trees(data, bo.TreeSettings(5, 0.5, depth=3), NUM, ["Compound"], "lap_id", "TargetTime")
+
+    class Scored:
+        def transform(self, df):
+            return df.withColumn("prediction", bo.predicted(df, binning, {0: model}, F.lit(0)))
+    features = [NUM[1], "Compound", NUM[0]]
+    once = attr.ensemble_permutation_importance(model, binning, data, features, "label", "lap_id", bucket_rows=300)
+    each = attr.permutation_importance(Scored(), data, features, "label", "lap_id", bucket_rows=300)
+    got, want = ({r.feature: r.value for r in x.collect()} for x in (once, each))
+    assert set(got) == set(features) and all(np.isclose(got[c], want[c], atol=1e-9) for c in features) and max(got.values()) > 1

@@ -8,7 +8,8 @@ from tests.oracle_check import compare, duck
 from lapengine.plans import registry
 
 # minutes of fitting; their settings and parts are tested in test_ml
-HEAVY = {"f10_random_forest", "f11_gradient_boosting", "f13_boosted_xgb", "f14_boosted_lgbm"}
+HEAVY = {f"{n}{x}" for n in ("f10_random_forest", "f11_gradient_boosting", "f13_boosted_xgb", "f14_boosted_lgbm") for x in ("", "_folds")} \
+    | {"f10_f14_model_zoo", "f22_permutation_importance"}
 
 registry.load_all()
 _Q = registry.QUERIES
