@@ -27,4 +27,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module so that all registrations run."""
-    from lapengine.plans import queries, queries_ml, queries_tables  # noqa: F401
+    from lapengine.plans import queries, queries_linear, queries_ml, queries_tables  # noqa: F401
