@@ -99,3 +99,27 @@ def st1_stream_ingest(spark, sf):
         ev.where(F.pmod(F.xxhash64("user_id"), F.lit(2)) == half).write.parquet(f"{source}/arrival{half}")
         out = ingest_available(spark, f"{source}/arrival*", source, ev.schema, tp.lap_features_of_events, sink, checkpoint)
     return out
+
+
+def _open_laps(root, schema):
+    """FX1 events as samples of laps that arrive in pieces."""
+    from datetime import date
+
+    from lapengine.functions.columns import floor_div
+    from lapengine.streaming.open_laps import OpenLaps
+    day = F.datediff(F.to_date("ts"), F.lit(date(2024, 1, 1)))
+    return OpenLaps(root, schema, F.col("user_id"), floor_div(day, fx.FX1_LAP_DAYS), F.unix_micros(F.col("ts").cast("timestamp")),
+                    tp.lap_features_of_events, tp.LAP_KEYS, grace=24 * 3600 * 1_000_000)
+
+
+@register("st1_laps_in_pieces", _e1_sql())
+def st1_laps_in_pieces(spark, sf):
+    """ST1: three arrivals that cut laps apart, one event in sixteen coming with the last one however old it is."""
+    from lapengine.streaming.ingest import shared_dir
+    from lapengine.streaming.open_laps import ingest_in_pieces
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    # days 13 and 19 lie within laps of ten days, so every driver's lap there is cut
+    day = F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date"))
+    arrival = F.when((F.pmod(F.xxhash64("event_id"), F.lit(16)) == 0) | (day >= 19), 2).when(day >= 13, 1).otherwise(0)
+    laps = ingest_in_pieces([ev.where(arrival == i) for i in range(3)], _open_laps(shared_dir(spark, "pieces"), ev.schema))
+    return laps.drop("is_open")
