@@ -27,6 +27,7 @@ import re
 import uuid
 from collections import Counter
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from lapengine.llm.registry import register, table
 
 MAX_DOCS, MAX_CHARS, GRAMS = 1500, 2_000_000, 4
-CACHE = 100_000
+CACHE = 300_000
 UNKNOWN = "und"
 
 
@@ -63,60 +64,55 @@ class LanguageModel:
     seen: np.ndarray
 
 
-class _Rows(dict):
-    """Row number of each word met."""
-
-    def __init__(self, scorer: Scorer) -> None:
-        self.scorer = scorer
-
-    def __missing__(self, word: str) -> int:
-        k = self[word] = self.scorer.row(word)
-        return k
-
-
 class Scorer:
-    """Scores words with a model; keeps the latest words' rows.
+    """Scores words with a model; keeps the latest unseen words' rows.
 
     A row holds a word's score in each language and, with ``familiar``, how familiar it is there: 1
     for a word that was seen in the language, else the share of its longest n-grams that were.
     """
 
     def __init__(self, model: LanguageModel, familiar: bool = True) -> None:
-        self.model, self.familiar, self.known = model, familiar, dict(zip(model.units, range(len(model.units)), strict=True))
+        self.model, self.familiar = model, familiar
+        self.grams = {u[1:]: k for k, u in enumerate(model.units) if u[0] == "\t"}
+        self.met = {u: k for k, u in enumerate(model.units) if u[0] != "\t"}       # rows of known words, and of unseen ones that were met
         own = np.concatenate([model.scores, model.seen], axis=1, dtype=np.float32) if familiar else model.scores
         self.rows = np.concatenate([own, np.zeros((CACHE, own.shape[1]), np.float32)])
         # a known word of another language may still be built like this one's: filled in when it is met
         self.open = ~model.seen.all(axis=1) if familiar else np.zeros(len(own), bool)
-        self.met, self.unseen = _Rows(self), 0
+        self.unseen: list[str] = []
 
-    def fall_back(self, word: str) -> np.ndarray:
-        marked = f"<{word}>"
+    def fall_back(self, word: str) -> list[int]:
+        """The word's longest n-grams that the model knows."""
+        marked, known = f"<{word}>", self.grams.get
         for n in range(self.model.grams, 0, -1):
             of = marked if n > 1 else word
-            own = [k for i in range(len(of) - n + 1) if (k := self.known.get("\t" + of[i:i + n])) is not None]
+            own = [k for i in range(len(of) - n + 1) if (k := known(of[i:i + n])) is not None]
             if own:
-                return self.model.scores[own].mean(axis=0)
-        return np.zeros(len(self.model.langs), np.float32)
+                return own
+        return []
 
     def built(self, word: str) -> np.ndarray:
         """Share of the word's longest n-grams that were seen in each language."""
         marked = f"<{word}>"
         n = min(self.model.grams, len(marked))
         of = marked if n > 1 else word
-        own = [self.known.get("\t" + of[i:i + n]) for i in range(len(of) - n + 1)]
+        own = [self.grams.get(of[i:i + n]) for i in range(len(of) - n + 1)]
         return self.model.seen[[k for k in own if k is not None]].sum(axis=0) / len(own)
 
-    def row(self, word: str) -> int:
-        k, n = self.known.get(word), len(self.model.langs)
-        if k is None:
-            k, self.unseen = len(self.known) + self.unseen, self.unseen + 1
-            self.rows[k, :n] = self.fall_back(word)
-            if self.familiar:
-                self.rows[k, n:] = self.built(word)
-        elif self.open[k]:
-            self.rows[k, n:] = np.maximum(self.model.seen[k], self.built(word))
-            self.open[k] = False
-        return k
+    def meet(self, words: list[str]) -> None:
+        """Fills in the rows of words that were not met yet."""
+        lo, n = len(self.model.units) + len(self.unseen), len(self.model.langs)
+        own = [self.fall_back(w) for w in words]
+        size = np.fromiter(map(len, own), np.int64, len(own))
+        flat = np.fromiter((k for x in own for k in x), np.int64, int(size.sum()))
+        total, some = np.zeros((len(words), n), np.float32), np.flatnonzero(size)
+        if len(some):
+            total[some] = np.add.reduceat(self.model.scores[flat], (np.cumsum(size) - size)[some], axis=0) / size[some][:, None]
+        self.rows[lo:lo + len(words), :n] = total
+        if self.familiar:
+            self.rows[lo:lo + len(words), n:] = [self.built(w) for w in words]
+        self.met.update(zip(words, range(lo, lo + len(words)), strict=True))
+        self.unseen += words
 
     def scores(self, text: str) -> np.ndarray | None:
         """Sums of the text's words' rows: score in each language, familiarity in each, and the number of words; None
@@ -124,14 +120,25 @@ class Scorer:
         count = Counter(words_of(text))
         if not count:
             return None
-        total = np.zeros(self.rows.shape[1])
+        total, n = np.zeros(self.rows.shape[1]), len(self.model.langs)
         words = list(count)
         for lo in range(0, len(words), CACHE // 2):     # a part's new words fit in the cache
             part = words[lo:lo + CACHE // 2]
-            if len(self.met) > CACHE // 2:
-                self.met.clear()
-                self.unseen = 0
-            rows = np.fromiter(map(self.met.__getitem__, part), np.int64, len(part))
+            rows = np.fromiter(map(self.met.get, part, repeat(-1)), np.int64, len(part))
+            if len(new := np.flatnonzero(rows < 0)):
+                if len(self.unseen) + len(new) > CACHE:
+                    for w in self.unseen:
+                        del self.met[w]
+                    self.unseen = []
+                    rows[rows >= len(self.model.units)] = -1
+                    new = np.flatnonzero(rows < 0)
+                self.meet([part[i] for i in new.tolist()])
+                rows[new] = len(self.model.units) + len(self.unseen) - len(new) + np.arange(len(new))
+            if self.familiar:
+                for i in np.flatnonzero(rows < len(self.open)).tolist():
+                    if self.open[k := rows[i]]:
+                        self.rows[k, n:] = np.maximum(self.model.seen[k], self.built(part[i]))
+                        self.open[k] = False
             total += np.fromiter(map(count.__getitem__, part), np.float64, len(part)) @ self.rows[rows]
         return np.append(total, sum(count.values()))
 
