@@ -77,6 +77,7 @@ def extraction_totals(log: DataFrame) -> DataFrame:
                     F.format_string("%.1f%%", F.round(rate, 1)).alias("success_rate"))
 
 
+SKETCH_ACCURACY = 10_000
 # At most so many groups' statistics are broadcast; more are joined by salted keys.
 MAX_BROADCAST_GROUPS = 10_000
 JOIN_SALTS = 64
@@ -182,20 +183,43 @@ def exact_quantiles(df: DataFrame, by: str, col: str, probs: list[float],
     return picked.groupBy(by).agg(*[F.max(F.when(F.col("_qi") == i, val)).alias(f"q{i}") for i in range(len(probs))])
 
 
-def box_stats(df: DataFrame, by: str, col: str, exact: bool = True, accuracy: int = 10000) -> DataFrame:
+def sketch_quantiles(df: DataFrame, by: str, col: str, probs: list[float], accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+    """Quantiles per group from a mergeable sketch: ``by, q0, q1, ...``.
+
+    Each task summarises its own rows and the summaries are merged, so nothing is sorted or gathered; memory a group is
+    about ``accuracy`` numbers.  Each result is a value of the group whose rank is at most ``n / accuracy`` off.
+    """
+    q = F.percentile_approx(F.col(col), probs, accuracy).alias("_q")
+    return (df.where(F.col(col).isNotNull() & F.col(by).isNotNull()).groupBy(by).agg(q)
+              .select(by, *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))]))
+
+
+def rank_errors(df: DataFrame, by: str, col: str, quantiles: DataFrame, probs: list[float]) -> DataFrame:
+    """How far each quantile's rank is from the one wanted, as a share of its group: ``by, p, n, error`` (exact, one join)."""
+    x = _with_group_stats(df.select(by, col).where(F.col(col).isNotNull()), quantiles, [by])
+    n = F.count(F.lit(1))
+    each = x.groupBy(by).agg(n.alias("n"), F.array(*[
+        F.struct(F.lit(p).alias("p"), F.greatest(F.lit(0.0), F.count_if(F.col(col) < F.col(f"q{i}")) / n - p, p - F.count_if(F.col(col) <= F.col(f"q{i}")) / n).alias("error"))
+        for i, p in enumerate(probs)]).alias("e"))
+    return each.select(by, "n", F.explode("e").alias("e")).select(by, "e.p", "n", "e.error")
+
+
+def box_stats(df: DataFrame, by: str, col: str, exact: bool = True, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """Box-plot numbers per group: quartiles, whiskers (1.5 IQR), outliers.
 
     ``exact`` ranks rows with a distributed sort (see ``exact_quantiles``);
-    otherwise ``percentile_approx`` with bounded memory per group.  Both keep
-    every group spread over many tasks, and read the pairs that
-    ``ranged_pairs`` has written.
+    otherwise ``sketch_quantiles`` does without any sort.  Both keep every group
+    spread over many tasks and read pairs that were written once.
     """
-    x = ranged_pairs(df, by, col)
+    probs = [0.25, 0.5, 0.75]
     if exact:
-        qs = exact_quantiles(df, by, col, [0.25, 0.5, 0.75], ranged=x)
+        x = ranged_pairs(df, by, col)
+        qs = exact_quantiles(df, by, col, probs, ranged=x)
     else:
-        qs = x.groupBy(by).agg(F.percentile_approx(F.col(col), [0.25, 0.5, 0.75], accuracy).alias("_q")) \
-              .select(by, *[F.col("_q")[i].alias(f"q{i}") for i in range(3)])
+        from lapengine.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(df.sparkSession)
+        x = df.select(by, col).where(F.col(col).isNotNull() & F.col(by).isNotNull()).checkpoint(eager=True)
+        qs = sketch_quantiles(x, by, col, probs, accuracy)
     qs = qs.select(by, F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
     iqr = F.col("q3") - F.col("q1")
     qs = qs.select("*", (F.col("q1") - F.lit(1.5) * iqr).alias("_lo"), (F.col("q3") + F.lit(1.5) * iqr).alias("_hi"))

@@ -56,6 +56,31 @@ def with_fold(df: DataFrame, key: Column | str, k: int = 5, seed: int = FOLD_SEE
     return df.withColumn("fold", F.pmod(h, F.lit(k)).cast("int"))
 
 
+def with_exact_fold(df: DataFrame, key: str, k: int = 5, seed: int = FOLD_SEED) -> DataFrame:
+    """F15 with fold sizes that differ by at most one: fold ``ntile(k)`` of the order by ``with_fold``'s hash, then key.
+
+    Rows are range-partitioned and sorted by (hash, key) and written once; a row's global place is the number of rows in
+    earlier partitions (one number a partition) plus its place in its own, so no task holds more than a partition.
+    """
+    h = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), 1, 8), 16, 10).cast("long")
+    x = df.withColumn("_h", h).repartitionByRange("_h", key).sortWithinPartitions("_h", key).withColumn("_i", F.monotonically_increasing_id())
+    x = _checkpointed(x)
+    part = F.shiftright("_i", 33)
+    sizes = sorted((r.p, r.n) for r in x.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect())
+    n, before = sum(c for _, c in sizes), 0
+    starts = []
+    for p, c in sizes:
+        starts.append((p, before))
+        before += c
+    offsets = df.sparkSession.createDataFrame(starts, "_p long, _start long")       # a row a partition
+    place = F.col("_start") + F.col("_i").bitwiseAND(F.lit((1 << 33) - 1))
+    q, r = divmod(n, k)                                         # the first r folds have one row more
+    small = F.lit(r) + F.floor((place - r * (q + 1)) / max(q, 1))
+    fold = F.when(place < r * (q + 1), F.floor(place / (q + 1))).otherwise(small)
+    out = x.withColumn("_p", part).join(F.broadcast(offsets), "_p").withColumn("fold", fold.cast("int"))
+    return out.select(*df.columns, "fold")
+
+
 def build_preprocessor(num_cols: list[str], cat_cols: list[str], n_rows: int, scale: bool = True) -> list:
     """numerics scaled by their population std + one-hot categoricals (unknown level -> zero vector).
 

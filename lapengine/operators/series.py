@@ -208,6 +208,13 @@ def resample_zoh(df: DataFrame, keys: list[str], t_us: str, cols: list[str], ste
                     *cols)
 
 
+def dropped_samples(df: DataFrame, keys: list[str], t_us: str) -> DataFrame:
+    """C1's quality count: ``keys, samples, dropped`` of each lap; ``dropped``: samples that ``resample_zoh`` leaves out because an
+    earlier one has the same time.  Counted by (lap, time) first, so a lap of any length is summed up before it is shuffled."""
+    at = df.where(all_not_null([*keys, t_us])).groupBy(*keys, t_us).agg(F.count(F.lit(1)).alias("_n"))
+    return at.groupBy(*keys).agg(F.sum("_n").alias("samples"), F.sum(F.col("_n") - 1).alias("dropped"))
+
+
 def align_time(df: DataFrame, keys: list[str], t_us: str, cols: list[str],
                hz: float = TIME_SAMPLE_RATE_HZ, **kw) -> DataFrame:
     """C1 with the reference's 10 Hz grid (``t_us`` in microseconds)."""

@@ -162,6 +162,13 @@ def f15_folds(spark, sf):
     return ml.with_fold(fx.lap_features(spark, sf).select("lap_id"), "lap_id", 5)
 
 
+@register("f15_exact_folds",
+          q.with_(LF, "SELECT lap_id, CAST(ntile(5) OVER (ORDER BY CAST('0x' || substr(md5('42:' || lap_id), 1, 8) AS BIGINT), lap_id) - 1 AS INTEGER) AS fold FROM lf"))
+def f15_exact_folds(spark, sf):
+    """shuffled folds whose sizes differ by one row at most."""
+    return ml.with_exact_fold(fx.lap_features(spark, sf).select("lap_id"), "lap_id", 5)
+
+
 # ------------------------------------------------------------------ F16 / F17 (exact linear oracle)
 
 def ols_cv(df, xs: list[str], y: str, key: str, k: int = 5):
@@ -618,6 +625,23 @@ def f9_preprocessor(spark, sf):
     return x.select("lap_id", *[F.col("x")[i].alias(n) for i, n in enumerate(names)])
 
 
+@register("f9_unknown_levels",
+          q.with_({**LF, "lfc": "SELECT * FROM lf WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in NUM_MODEL + CAT_MODEL + [TARGET]),
+                   "st": "SELECT avg(Avg_Speed_mps) AS m, stddev_pop(Avg_Speed_mps) AS sd FROM lfc WHERE Event <> 'R'"},
+                  f"SELECT lap_id, {R('(Avg_Speed_mps - m) / sd')} AS Avg_Speed_mps, "
+                  + ", ".join(f"CASE WHEN Event = '{v}' THEN 1.0e0 ELSE 0.0e0 END AS Event_{v}" for v in ("A", "N")) + " FROM lfc, st"))
+def f9_unknown_levels(spark, sf):
+    """F9 applied to rows of an event that was not there when it was fitted: no indicator is set, the statistics stay."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    data = _model_data(spark, sf)
+    known = data.where(F.col("Event") != "R")
+    pre = Pipeline(stages=ml.build_preprocessor(ONE, ["Event"], known.count())).fit(known)
+    names = attr.feature_slot_names(pre, ONE, ["Event"])
+    x = pre.transform(data).select("lap_id", vector_to_array("features").alias("x"))
+    return x.select("lap_id", *[F.col("x")[i].alias(n) for i, n in enumerate(names)])
+
+
 @register("f20_model_roundtrip",
           q.with_(_LINE, f"SELECT lap_id, {R('b + a * Avg_Speed_mps')} AS prediction FROM lfc, line"))
 def f20_model_roundtrip(spark, sf):

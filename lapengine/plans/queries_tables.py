@@ -351,9 +351,9 @@ def a1_read_artifact(spark, sf):
     return src.read_artifact(spark, path, "laps_metadata")
 
 
-def _as(df, kind):
-    """``df`` with the columns and types of an artefact kind."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SCHEMAS[kind].fields])
+def _as(df, kind, **extra):
+    """``df`` with the columns and types of an artefact kind, and ``extra`` columns under new names."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schemas.SCHEMAS[kind].fields], *[F.col(c).alias(n) for n, c in extra.items()])
 
 
 @register("a4_merge_sessions",
@@ -632,3 +632,64 @@ def e13_value_range(spark, sf):
 def e14_top_k(spark, sf):
     """Top 15 rows by a value, name as tie-break."""
     return agg.top_k(fx.lap_features(spark, sf).select("lap_id", "Energy_Index"), "Energy_Index", "lap_id", 15)
+
+
+# ---------------------------------------------------------------- further forms of A4, A11, C1, E7
+
+_TEXT_US = ("printf('%d days %02d:%02d:%02d', us // 86400000000, us // 1000000 % 86400 // 3600, us // 1000000 % 3600 // 60, us // 1000000 % 60) "
+            "|| CASE WHEN us % 1000000 = 0 THEN '' ELSE printf('.%06d', us % 1000000) END")
+
+
+@register("a11_tyre_table_lap_time",
+          "WITH l AS (SELECT CAST(user_id AS VARCHAR) AS Driver, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 10 + 1 AS INTEGER) AS LapNumber, "
+          "CASE WHEN count(*) % 4 > 0 THEN epoch_us(max(ts)) - epoch_us(min(ts)) // 1000000 * 1000000 END AS us FROM events GROUP BY 1, 2) "
+          "SELECT Driver, 'N/A' AS DriverNumber, 'N/A' AS Team, LapNumber, 'UNKNOWN' AS Compound, 0 AS TyreLife, 'N/A' AS FreshTyre, "
+          f"CASE WHEN us IS NULL THEN 'NaT' ELSE {_TEXT_US} END AS LapTime, {R('CAST(us AS DOUBLE) / 1e6')} AS LapTimeSeconds, 0 AS Stint, 'false' AS IsPersonalBest FROM l")
+def a11_tyre_table_lap_time(spark, sf):
+    """Lap times as text and as seconds, from intervals of which some are null."""
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    lap = (series.floor_div(F.datediff(F.to_date("ts"), F.lit("2024-01-01").cast("date")), 10) + 1).cast("int")
+    span = F.when(F.count(F.lit(1)) % 4 > 0, F.max("ts") - F.date_trunc("second", F.min("ts")).cast("timestamp_ntz"))
+    return src.tyre_table(ev.groupBy(F.col("user_id").cast("string").alias("Driver"), lap.alias("LapNumber")).agg(span.alias("LapTime")))
+
+
+@register("a4_merge_drifted_sessions",
+          q.with_({"lf": fx.SQL_LAP_FEATURES},
+                  f"SELECT 2024 AS Year, 'Event_' || Event AS Event, Driver, LapNumber, CASE WHEN Event <> 'A' THEN {R('Energy_Index')} END AS Energy_Index, "
+                  f"CASE WHEN Event = 'N' THEN {R('Avg_Throttle')} END AS Grip, CASE WHEN Event = 'R' THEN Compound END AS Tyre, "
+                  "TyreLife FROM lf WHERE Event IN ('A', 'N', 'R')"))
+def a4_merge_drifted_sessions(spark, sf):
+    """A4: folders that lack a declared column or have columns of their own, merged by one scan."""
+    from lapengine.streaming.ingest import shared_dir
+    root, lf = shared_dir(spark, "sessions"), fx.lap_features(spark, sf)
+    shapes = {"A": lambda x: _as(x, "lap_features").drop("Energy_Index"), "N": lambda x: _as(x, "lap_features", Grip="Avg_Throttle"),
+              "R": lambda x: _as(x, "lap_features", Tyre="Compound")}
+    for event, shape in shapes.items():
+        shape(lf.where(F.col("Event") == event)).write.parquet(f"{root}/2024_Event_{event}_R/lap_features")
+    return src.merge_sessions(spark, root, evolve=True).select("Year", "Event", "Driver", "LapNumber", "Energy_Index", "Grip", "Tyre", "TyreLife")
+
+
+_HOUR = 3_600_000_000
+
+
+@register("c1_dropped_samples",
+          q.with_({"tel": fx.sql_telemetry()},
+                  f"SELECT Driver, LapNumber, count(*) AS samples, count(*) - count(DISTINCT SessionTime_us // {6 * _HOUR}) AS dropped FROM tel GROUP BY Driver, LapNumber"))
+def c1_dropped_samples(spark, sf):
+    """Samples of each lap that share their time with an earlier one, times being kept to six hours."""
+    tel = fx.telemetry(spark, sf).withColumn("at", series.floor_div(F.col("SessionTime_us"), 6 * _HOUR))
+    return series.dropped_samples(tel, tp.LAP_KEYS, "at")
+
+
+_PROBS = [0.25, 0.5, 0.75]
+
+
+@register("e7_box_sketch",
+          q.with_({"lf": fx.SQL_LAP_FEATURES},
+                  "SELECT Event, p, count(*) AS n, true AS within FROM lf, (SELECT unnest([0.25e0, 0.5e0, 0.75e0]) AS p) WHERE Energy_Index IS NOT NULL GROUP BY Event, p"))
+def e7_box_sketch(spark, sf):
+    """E7's quartiles from the sketch: whether each is within the stated rank error of the exact one, counted on all rows."""
+    lf = fx.lap_features(spark, sf).select("Event", "Energy_Index")
+    found = agg.sketch_quantiles(lf, "Event", "Energy_Index", _PROBS)
+    errors = agg.rank_errors(lf, "Event", "Energy_Index", found, _PROBS)
+    return errors.select("Event", "p", "n", (F.col("error") <= 1 / agg.SKETCH_ACCURACY + 1 / F.col("n")).alias("within"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapengine import schemas
-from lapengine.functions.columns import interval_text_seconds, session_label
+from lapengine.functions.columns import interval_text, interval_text_seconds, session_label
 
 
 def read_artifact(spark: SparkSession, path: str, kind: str, fmt: str = "parquet") -> DataFrame:
@@ -27,8 +27,8 @@ def read_artifact(spark: SparkSession, path: str, kind: str, fmt: str = "parquet
 def with_session_keys(df: DataFrame, label: str | Column) -> DataFrame:
     """A2: ``<year>_<event>_<type>`` -> Year, Event, SessionType.
 
-    Under two parts or a non-digit year: the row is rejected; exactly two
-    parts: event ``UnknownEvent``.
+    Under two parts, or a year that is not digits or no integer: the row is
+    rejected; exactly two parts: event ``UnknownEvent``.
     """
     lab = F.col(label) if isinstance(label, str) else label
     parts = F.split(lab, "_")
@@ -36,9 +36,10 @@ def with_session_keys(df: DataFrame, label: str | Column) -> DataFrame:
     year = F.element_at(parts, 1)
     stype = F.element_at(parts, -1)
     event = F.when(n > 2, F.array_join(F.slice(parts, 2, n - 2), "_")).otherwise(F.lit("UnknownEvent"))
-    ok = (n >= 2) & year.rlike("^[0-9]+$")
+    number = F.when(year.rlike("^[0-9]+$"), year.try_cast("int"))
+    ok = (n >= 2) & number.isNotNull()
     out = df.where(ok)
-    return out.select("*", year.cast("int").alias("Year"), event.alias("Event"), stype.alias("SessionType"))
+    return out.select("*", number.alias("Year"), event.alias("Event"), stype.alias("SessionType"))
 
 
 def session_keys_from_path(df: DataFrame, depth_from_end: int = 2) -> DataFrame:
@@ -52,16 +53,25 @@ def session_keys_from_path(df: DataFrame, depth_from_end: int = 2) -> DataFrame:
 
 
 def merge_sessions(spark: SparkSession, root: str, artefact: str = "lap_features",
-                   schema: T.StructType | None = None) -> DataFrame:
+                   schema: T.StructType | None = None, evolve: bool = False) -> DataFrame:
     """A4: all sessions' artefact files as one DataFrame with session keys.
 
     One multi-path scan over ``<root>/<label>/<artefact>`` (parquet); empty
     and unparsable folders drop out through A2's filter.
+
+    ``evolve``: folders may have other columns than the declared ones.  The
+    scan's schema is the union over all files (one distributed pass over the
+    footers); declared columns come first with their declared types, null where
+    a folder lacks them, then any further columns by name, null elsewhere.  A
+    column must have one type in all folders.
     """
     schema = schema or schemas.SCHEMAS[artefact]
-    df = (spark.read.schema(schema).option("recursiveFileLookup", "false")
-          .parquet(f"{root}/*/{artefact}"))
-    return session_keys_from_path(df, depth_from_end=3)
+    path = f"{root}/*/{artefact}"
+    if not evolve:
+        return session_keys_from_path(spark.read.schema(schema).option("recursiveFileLookup", "false").parquet(path), depth_from_end=3)
+    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+    extra = sorted((f for f in found.fields if f.name not in schema.names), key=lambda f: f.name)
+    return session_keys_from_path(spark.read.schema(T.StructType([*schema.fields, *extra])).parquet(path), depth_from_end=3)
 
 
 def union_sessions(frames: list[DataFrame]) -> DataFrame:
@@ -123,7 +133,10 @@ def extract_weather(raw: DataFrame | None, time_text: str = "Time") -> DataFrame
 
 
 def tyre_table(laps: DataFrame) -> DataFrame:
-    """Tyre / stint projection with per-column defaults and safe casts."""
+    """Tyre / stint projection with per-column defaults and safe casts.
+
+    ``LapTime``, a day-time interval or its text, gives a text column (``NaT`` for a null interval) and the seconds.
+    """
     def txt(c, default):
         return (F.coalesce(F.col(c).cast("string"), F.lit(default)) if c in laps.columns
                 else F.lit(default)).alias(c)
@@ -133,8 +146,16 @@ def tyre_table(laps: DataFrame) -> DataFrame:
                 else F.lit(0)).alias(c)
     lap_secs = (F.expr("try_cast(LapTimeSeconds AS DOUBLE)") if "LapTimeSeconds" in laps.columns
                 else F.lit(None).cast("double"))
+    text = []
+    if "LapTime" in laps.columns:                               # its text, and the seconds parsed from it
+        lap_time = F.col("LapTime")
+        if not isinstance(laps.schema["LapTime"].dataType, T.StringType):
+            us = F.round(interval_seconds(lap_time) * F.lit(1e6)).cast("long")
+            lap_time = F.when(us.isNull(), F.lit("NaT")).otherwise(F.regexp_replace(interval_text(us), r"\.000000$", ""))
+        text = [F.coalesce(lap_time, F.lit("N/A")).alias("LapTime")]
+        lap_secs = interval_text_seconds(lap_time)
     return laps.select(txt("Driver", "N/A"), txt("DriverNumber", "N/A"), txt("Team", "N/A"), num("LapNumber"),
-                       txt("Compound", "UNKNOWN"), num("TyreLife"), txt("FreshTyre", "N/A"),
+                       txt("Compound", "UNKNOWN"), num("TyreLife"), txt("FreshTyre", "N/A"), *text,
                        lap_secs.alias("LapTimeSeconds"), num("Stint"), txt("IsPersonalBest", "false"))
 
 

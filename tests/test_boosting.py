@@ -145,3 +145,27 @@ def test_zoo_settings():
     assert (z["XGBoost"].trees, z["XGBoost"].rate, z["XGBoost"].depth, z["XGBoost"].rows, z["XGBoost"].columns) == (400, 0.05, 4, 0.9, 0.9)
     assert (z["LightGBM"].trees, z["LightGBM"].rate, z["LightGBM"].leaves, z["LightGBM"].depth) == (400, 0.05, 31, None)
     assert ml.tree_zoo({"n_estimators": 7, "max_depth": 2})["RandomForest"].depth == 2
+
+
+@pytest.mark.parametrize("n", [0, 1, 4, 5, 103])
+def test_exact_folds_differ_by_one_row(spark, n):
+    df = spark.range(n).selectExpr("cast(id as string) id", "1 as _x").repartition(7)
+    got = ml.with_exact_fold(df, "id", 5)
+    sizes = sorted((r["count"] for r in got.groupBy("fold").count().collect()), reverse=True)
+    assert sizes == [s for s in (n // 5 + (i < n % 5) for i in range(5)) if s] and got.columns == ["id", "_x", "fold"]
+    assert sorted(got.select("id", "fold").collect()) == sorted(ml.with_exact_fold(df.repartition(2), "id", 5).select("id", "fold").collect())
+
+
+def test_sketch_quantiles_of_a_hot_group_are_within_the_stated_error(spark):
+    from lapengine.operators import aggregates as agg
+    df = spark.range(30_000).selectExpr("if(id % 3 = 0, 'hot', cast(id % 7 as string)) g", "(id * 7919) % 10007 as v")
+    probs = [0.25, 0.5, 0.75]
+    errors = agg.rank_errors(df, "g", "v", agg.sketch_quantiles(df, "g", "v", probs, 100), probs).collect()
+    assert len(errors) == 24 and all(r.error <= 0.01 + 1 / r.n for r in errors)
+    exact, sketch = (agg.box_stats(df, "g", "v", exact=e).orderBy("g").collect() for e in (True, False))
+    assert all(abs(a.median - b.median) <= 10 and a.n == b.n for a, b in zip(exact, sketch, strict=True))
+    from io import StringIO
+    from contextlib import redirect_stdout
+    with redirect_stdout(StringIO()) as said:
+        agg.sketch_quantiles(df, "g", "v", probs).explain()
+    assert "rangepartitioning" not in said.getvalue()

@@ -80,3 +80,18 @@ def test_read_artifact_csv_and_parquet(spark, tmpdir_path):
     a = src.read_artifact(spark, os.path.join(tmpdir_path, "meta_csv"), "laps_metadata", fmt="csv").first()
     b = src.read_artifact(spark, os.path.join(tmpdir_path, "meta_pq"), "laps_metadata").first()
     assert a == b and a.LapTimeSeconds == 90.5 and a.LapNumber == 3
+
+
+def test_year_beyond_an_integer_is_rejected(spark):
+    df = spark.createDataFrame([("2024_A_R",), ("99999999999_A_R",), ("x_A_R",), ("2024",)], "label string")
+    assert [r.label for r in src.with_session_keys(df, "label").collect()] == ["2024_A_R"]
+
+
+def test_lap_time_text_and_seconds(spark):
+    df = spark.sql("SELECT * FROM VALUES ('a', INTERVAL '0 00:01:33.5' DAY TO SECOND), ('b', INTERVAL '1 00:00:05' DAY TO SECOND), "
+                   "('c', CAST(NULL AS INTERVAL DAY TO SECOND)) t(Driver, LapTime)")
+    got = {r.Driver: (r.LapTime, r.LapTimeSeconds) for r in src.tyre_table(df).collect()}
+    assert got == {"a": ("0 days 00:01:33.500000", 93.5), "b": ("1 days 00:00:05", 86405.0), "c": ("NaT", None)}
+    text = spark.createDataFrame([("a", "0 days 00:01:33.5"), ("b", "soon"), ("c", None)], "Driver string, LapTime string")
+    assert {r.Driver: (r.LapTime, r.LapTimeSeconds) for r in src.tyre_table(text).collect()} == {
+        "a": ("0 days 00:01:33.5", 93.5), "b": ("soon", None), "c": ("N/A", None)}
