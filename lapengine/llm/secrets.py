@@ -17,6 +17,7 @@ run scans those blobs again; a blob scanned twice gets its spans once.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -28,6 +29,7 @@ from lapengine.llm.registry import register, table
 from lapengine.llm.storage import shared_dir, written
 
 SPAN = "struct<rule:string,kind:string,rank:int,start:bigint,end:bigint>"
+BLOCK, RUN = 64, 1024
 LEDGER_SCHEMA = f"blob binary, rules array<string>, spans array<{SPAN}>"
 
 
@@ -72,23 +74,49 @@ def blob_of(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text, F.lit("")), 256))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` reads it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def in_blocks(items: Column, zero: Column, carry: Callable[[Column, Column], Column], merge: Callable[[Column, Column], Column],
+              each: Callable[[Column, Column], Column]) -> Column:
+    """Concatenation of ``each(state, block)`` over blocks of ``BLOCK`` items; the state is ``carry`` over all items before the block.
+
+    An array that grows item by item is copied for every item; here only one block's is, so the time is linear in the items
+    (but for the blocks' own states, a thousandth of a square).  ``merge`` joins the states of two runs of items.
+    """
+    def run(own: Column) -> Column:
+        index = F.when(F.size(own) > 0, F.sequence(F.lit(0), F.floor((F.size(own) - 1) / BLOCK).cast("int"))).otherwise(F.array().cast("array<int>"))
+
+        def block(b: Column) -> Column:
+            return F.slice(own, b * BLOCK + 1, F.lit(BLOCK))
+        states = F.transform(index, lambda b: F.aggregate(block(b), zero, carry))
+        return let(states, lambda done: F.flatten(F.transform(index, lambda b: each(F.aggregate(F.slice(done, F.lit(1), b), zero, merge), block(b)))))
+    return let(items, run)
+
+
 def rule_spans(text: Column, rule: SecretRule, rank: int) -> Column:
-    """Spans of one rule, in code points: the text between matches and the matches give the positions."""
+    """Spans of one rule, in code points: the lengths of the text between matches and of the matches give the positions."""
     found = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))
     judged = found if rule.group == 0 else F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    steps = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), found.alias("hit"), judged.alias("judged"))
+    pieces = F.arrays_zip(F.split(text, rule.pattern, -1).alias("gap"), found.alias("hit"), judged.alias("judged"))
+    lengths = F.transform(pieces, lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["hit"]).alias("hit"), F.length(x["judged"]).alias("judged")))
     none = F.array().cast(f"array<{SPAN}>")
 
+    def passed(at: Column, x: Column) -> Column:
+        return at + x["gap"] + F.coalesce(x["hit"], F.lit(0))
+
     def step(a: Column, x: Column) -> Column:
-        start = a["at"] + F.length(x["gap"])
-        end = start + F.coalesce(F.length(x["hit"]), F.lit(0))
+        start, end = a["at"] + x["gap"], passed(a["at"], x)
         span = F.struct(F.lit(rule.version).alias("rule"), F.lit(rule.kind).alias("kind"), F.lit(rank).alias("rank"),
                         start.alias("start"), end.alias("end"))
-        keep = x["hit"].isNotNull() & (F.length(x["judged"]) >= rule.least)
+        keep = x["hit"].isNotNull() & (x["judged"] >= rule.least)
         return F.struct(end.alias("at"), F.when(keep, F.concat(a["spans"], F.array(span))).otherwise(a["spans"]).alias("spans"))
 
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), none.alias("spans"))
-    return F.aggregate(steps, zero, step, lambda a: a["spans"])
+    def spans(at: Column, block: Column) -> Column:
+        return F.aggregate(block, F.struct(at.alias("at"), none.alias("spans")), step, lambda a: a["spans"])
+    return in_blocks(lengths, F.lit(0).cast("bigint"), passed, lambda x, y: x + y, spans)
 
 
 def scan(blobs: DataFrame, rules=RULES) -> DataFrame:
@@ -135,9 +163,11 @@ def findings(versions: DataFrame, ledger: str, rules=RULES, text_col: str = "tex
     current = [r.version for r in rules]
     of_blob = (read_ledger(versions.sparkSession, ledger).where(F.size("spans") > 0)
                .select("blob", F.filter("spans", lambda s: s["rule"].isin(current)).alias("spans"))
-               .groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans")))
-    of_blob = of_blob.select(F.col("blob").alias("_blob"), F.array_sort(F.transform("spans", lambda s: F.struct(
-        s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind")))).alias("_found"))
+               .groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans")))
+    ordered = F.sort_array(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["rank"].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    # spans of a blob that was scanned twice stand side by side now
+    once = let(ordered, lambda own: F.filter(own, lambda s, i: (i == 0) | (s != F.get(own, i - 1))))
+    of_blob = of_blob.select(F.col("blob").alias("_blob"), once.alias("_found"))
     # written, so that the join is of two plain inputs and the rows of a blob with many copies can be split
     of_blob = written(of_blob, "findings")
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
@@ -150,16 +180,34 @@ def said(spans: Column) -> Column:
 
 
 def redact(text: Column, spans: Column, put: str = "[secret]") -> Column:
-    """``text`` with each stretch covered by spans (sorted by start) replaced by ``put``."""
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
+    """``text`` with each stretch covered by spans (sorted by start) replaced by ``put``.
 
-    def step(a: Column, s: Column) -> Column:
-        between = F.substring(text, (a["at"] + 1).cast("int"), F.greatest(s["start"] - a["at"], F.lit(0)).cast("int"))
-        out = F.when(s["start"] >= a["at"], F.concat(a["out"], between, F.lit(put))).otherwise(a["out"])
-        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), out.alias("out"))
+    The text is cut into runs of ``RUN`` code points first: a substring is looked for from its run's start, not the text's.
+    """
+    start, none = F.lit(0).cast("bigint"), F.array().cast("array<struct<lo:bigint,hi:bigint>>")
 
-    whole = F.aggregate(spans, zero, step, lambda a: F.concat(a["out"], F.substring(text, (a["at"] + 1).cast("int"), F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(text)
+    def step(a: Column, s: Column) -> Column:
+        gap = F.struct(a["at"].alias("lo"), s["start"].alias("hi"))
+        return F.struct(F.greatest(a["at"], s["end"]).alias("at"), F.when(s["start"] >= a["at"], F.concat(a["gaps"], F.array(gap))).otherwise(a["gaps"]).alias("gaps"))
+
+    def gaps(at: Column, block: Column) -> Column:
+        return F.aggregate(block, F.struct(at.alias("at"), none.alias("gaps")), step, lambda a: a["gaps"])
+
+    def covered(at: Column, s: Column) -> Column:
+        return F.greatest(at, s["end"])
+    between = in_blocks(spans, start, covered, lambda x, y: F.greatest(x, y), gaps)
+
+    def whole(runs: Column) -> Column:
+        def cut(lo: Column, hi: Column) -> Column:
+            def part(k: Column) -> Column:
+                a = F.greatest(lo - k * RUN, F.lit(0))
+                return F.get(runs, k.cast("int")).substr((a + 1).cast("int"), (F.least(hi - k * RUN, F.lit(RUN)) - a).cast("int"))
+            run = F.sequence(F.floor(lo / RUN).cast("bigint"), F.floor((hi - 1) / RUN).cast("bigint"))
+            return F.when(hi > lo, F.array_join(F.transform(run, part), "")).otherwise(F.lit(""))
+        last = cut(F.aggregate(spans, start, covered), F.length(text).cast("bigint"))
+        return F.concat(F.array_join(F.transform(between, lambda g: F.concat(cut(g["lo"], g["hi"]), F.lit(put))), ""), last)
+    redacted = let(F.regexp_extract_all(text, F.lit(rf"[\s\S]{{1,{RUN}}}"), F.lit(0)), whole)
+    return F.when(F.size(spans) > 0, redacted).otherwise(text)
 
 
 def digest(found: DataFrame) -> DataFrame:

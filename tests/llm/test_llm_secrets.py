@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 from lapengine.llm import secrets
@@ -97,6 +98,35 @@ def test_keys_with_headers_and_escapes_are_redacted_whole(spark):
                    5: "[secret]- it ends: here", 6: "é😀 [secret] z"}
 
 
+def test_many_spans_in_one_text(spark):
+    import time
+
+    from pyspark.sql import functions as F
+    rng = random.Random(4)
+
+    def listing(n):
+        return "".join(f"é{rng.getrandbits(64):016x}{rng.choice(['  file', ' token=abcdefghijkl', chr(10), ' 😀 '])}" for _ in range(n))
+    check(spark, [listing(n) for n in (63, 64, 65, 128, 1000)])
+    took = []
+    for n in (4_000, 40_000):
+        text = listing(n)
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        t, ledger = time.time(), shared_dir(spark, "t")
+        secrets.update(df, ledger)
+        found = secrets.findings(df, ledger)
+        got = found.select(F.size("secret_spans").alias("n"), secrets.redact(F.col("text"), F.col("secret_spans")).alias("out")).first()
+        took.append(time.time() - t)
+        b = brute(text)
+        assert got.n == len(b[4].split(","))
+        spans, out, at = sorted((int(x.split(":")[1]), int(x.split(":")[2])) for x in b[4].split(",")), [], 0
+        for lo, hi in spans:
+            if lo >= at:
+                out += [text[at:lo], "[secret]"]
+            at = max(at, hi)
+        assert got.out == "".join([*out, text[at:]])
+    assert took[1] < 20 * took[0]                           # ten times the spans
+
+
 def test_query_is_brute_force(spark):
     docs = {r.doc_id: r.text for r in table(spark, SF, "documents").collect()}
     got = QUERIES["op6_secret_scans"](spark, SF).collect()
