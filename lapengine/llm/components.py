@@ -9,19 +9,23 @@ from lapengine.llm.storage import written
 
 
 def components(edges: DataFrame) -> DataFrame | None:
-    """``v, root`` for each vertex of ``edges(a, b)``, or None without an edge.
+    """``v, root`` (the component's smallest vertex) for each vertex of ``edges(a, b)``, or None without an edge.
 
-    In each round every vertex moves to its smallest neighbour (or itself) and
-    the edges are renamed; the edge set shrinks to nothing in a logarithmic
-    number of rounds.  A round's rows are one per vertex or edge, its minima
-    are partial aggregates, and its tables are written, so no vertex's
-    neighbours are ever gathered and a lost executor costs one round at most.
+    In each round vertices are ranked anew by a hash, every vertex moves to its
+    first neighbour in that order (or stays) and the edges are renamed.  No
+    order of ids lasts over the rounds, so on average a fixed share of the
+    vertices goes in each, a long ordered chain too, and the number of rounds is
+    logarithmic.  A round's rows are one per vertex or edge, its minima are
+    partial aggregates, and its tables are written, so no vertex's neighbours
+    are ever gathered and a lost executor costs one round at most.
     """
     rounds = []
     e = written(edges.where("a <> b").select("a", "b").distinct(), "edges")
     while not e.isEmpty():
         both = e.select(F.col("a").alias("v"), F.col("b").alias("w")).union(e.select("b", "a"))
-        to = written(both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least("v", "w").alias("to")), "moves")
+        salt = F.lit(len(rounds))
+        first = F.least(F.struct(F.xxhash64(salt, "v").alias("h"), F.col("v").alias("w")), F.min(F.struct(F.xxhash64(salt, "w").alias("h"), "w")))
+        to = written(both.groupBy("v").agg(first["w"].alias("to")), "moves")
         rounds.append(to)
         e = written(e.join(to.toDF("a", "ta"), "a").join(to.toDF("b", "tb"), "b").where("ta <> tb")
                     .select(F.col("ta").alias("a"), F.col("tb").alias("b")).distinct(), "edges")
@@ -31,4 +35,6 @@ def components(edges: DataFrame) -> DataFrame | None:
     for to in reversed(rounds[:-1]):
         total = (to.join(total.toDF("to", "root"), "to", "left")
                  .select("v", F.coalesce("root", "to").alias("root")))
-    return total
+    total = written(total, "roots")
+    least = total.groupBy("root").agg(F.min("v").alias("least"))
+    return total.join(least, "root").select("v", F.col("least").alias("root"))

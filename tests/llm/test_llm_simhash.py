@@ -103,3 +103,11 @@ def test_components_of_a_long_chain_and_a_star(spark):
     got = {r.v: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(61)} | {1000 + i: 1000 for i in range(50)}
     assert components(spark.createDataFrame([], "a long, b long")) is None
+
+
+def test_an_ordered_chain_takes_few_rounds(spark, monkeypatch):
+    from lapengine.llm import components as C
+    names, put = [], C.written
+    monkeypatch.setattr(C, "written", lambda df, name: names.append(name) or put(df, name))
+    got = {r.v: r.root for r in components(spark.range(1000).selectExpr("id as a", "id + 1 as b")).collect()}
+    assert got == dict.fromkeys(range(1001), 0) and names.count("moves") <= 20
