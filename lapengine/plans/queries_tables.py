@@ -59,11 +59,14 @@ def tfs_ctes() -> dict[str, str]:
                    f"AND CURRENT ROW) AS RelativeTime_s FROM (SELECT *, {dd} / {v} AS dt FROM dgrid)"}
 
 
-def _time_dist(spark, sf):
-    grid = tp.materialised(tp.distance_grid(spark, sf), "distance-grid")
+def _trace(grid):
     return compare.time_from_speed(grid, tp.LAP_KEYS, step=STEP, scale=fx.FX1_DIST_SCALE)
 
 
+def _time_dist(spark, sf):
+    return _trace(tp.materialised(tp.distance_grid(spark, sf), "distance-grid"))
+
+
 # ------------------------------------------------------------------ C2, C9, D2, D5
 
 @register("c2_interpolate_distance",
@@ -91,7 +94,8 @@ def c9_time_from_speed(spark, sf):
                   f"WHERE a.Driver = '{D1_DRIVER}' AND a.LapNumber = 1 AND b.Driver = '{D2_DRIVER}' AND b.LapNumber = 1"))
 def d2_ghost_delta(spark, sf):
     """Time delta of two drivers' laps on the shared distance ticks."""
-    return compare.ghost_delta(tp.materialised(_time_dist(spark, sf), "traces"), (D1_DRIVER, 1), (D2_DRIVER, 1))
+    two = F.col("Driver").isin(D1_DRIVER, D2_DRIVER) & (F.col("LapNumber") == 1)
+    return compare.ghost_delta(_trace(tp.distance_grid(spark, sf, only=two)), (D1_DRIVER, 1), (D2_DRIVER, 1))
 
 
 @register("d5_ghost_delta_all",
@@ -613,7 +617,8 @@ def e10_threshold_counts(spark, sf):
                   f"FROM d6 WHERE Driver IN ('{D1_DRIVER}', '{D2_DRIVER}')"))
 def e11_energy_curve(spark, sf):
     """Cumulative energy over time for two drivers."""
-    return agg.energy_curve(tp.enriched(spark, sf), tp.LAP_KEYS, [D1_DRIVER, D2_DRIVER])
+    own = tp.enriched(spark, sf, only=F.col("Driver").isin(D1_DRIVER, D2_DRIVER))
+    return agg.energy_curve(own, tp.LAP_KEYS, [D1_DRIVER, D2_DRIVER])
 
 
 @register("e13_value_range",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from lapengine.operators import aggregates as agg
 from lapengine.operators import series
@@ -12,18 +12,23 @@ LAP_KEYS = ["Driver", "LapNumber"]
 SIGNALS = ["Speed", "Throttle", "Brake", "X", "Y"]
 
 
+def _of(tel: DataFrame, only: Column | None) -> DataFrame:
+    """The samples of the laps wanted: laps do not touch each other, so a condition on the lap keys can come before the grid."""
+    return tel if only is None else tel.where(only)
+
+
 def time_grid(spark: SparkSession, sf_dir: str, *, null_value: bool = False, short_laps: bool = False,
-              chunk_ticks: int = series.DEFAULT_CHUNK_TICKS) -> DataFrame:
-    """FX1 -> C1 (+C3): every lap on the fixed time grid."""
-    tel = fx.telemetry(spark, sf_dir, null_value=null_value, short_laps=short_laps)
+              chunk_ticks: int = series.DEFAULT_CHUNK_TICKS, only: Column | None = None) -> DataFrame:
+    """FX1 -> C1 (+C3): every lap (or those where ``only`` holds) on the fixed time grid."""
+    tel = _of(fx.telemetry(spark, sf_dir, null_value=null_value, short_laps=short_laps), only)
     return series.resample_zoh(tel, LAP_KEYS, "SessionTime_us", SIGNALS, fx.FX1_STEP_US,
                                tiebreak=["event_id"], chunk_ticks=chunk_ticks)
 
 
 def distance_grid(spark: SparkSession, sf_dir: str, *, null_value: bool = False,
-                  chunk_ticks: int = series.DEFAULT_CHUNK_TICKS) -> DataFrame:
-    """FX1 -> C2 (+B3, B4, C3): every lap on the fixed distance grid."""
-    tel = fx.telemetry(spark, sf_dir, null_value=null_value)
+                  chunk_ticks: int = series.DEFAULT_CHUNK_TICKS, only: Column | None = None) -> DataFrame:
+    """FX1 -> C2 (+B3, B4, C3): every lap (or those where ``only`` holds) on the fixed distance grid."""
+    tel = _of(fx.telemetry(spark, sf_dir, null_value=null_value), only)
     return series.interpolate_grid(tel, LAP_KEYS, "Distance_c", SIGNALS, fx.FX1_DIST_STEP,
                                    order=["SessionTime_us", "event_id"], scale=fx.FX1_DIST_SCALE,
                                    chunk_ticks=chunk_ticks)
@@ -47,8 +52,8 @@ def dynamics(spark: SparkSession, sf_dir: str, *, short_laps: bool = False,
     return series.dynamics(g, LAP_KEYS, dt=fx.FX1_DT, chunk_ticks=chunk_ticks)
 
 
-def enriched(spark: SparkSession, sf_dir: str, *, chunk_ticks: int = series.DEFAULT_CHUNK_TICKS) -> DataFrame:
-    g = materialised(time_grid(spark, sf_dir, chunk_ticks=chunk_ticks), "time-grid")
+def enriched(spark: SparkSession, sf_dir: str, *, chunk_ticks: int = series.DEFAULT_CHUNK_TICKS, only: Column | None = None) -> DataFrame:
+    g = materialised(time_grid(spark, sf_dir, chunk_ticks=chunk_ticks, only=only), "time-grid")
     return series.enrich(g, LAP_KEYS, dt=fx.FX1_DT, chunk_ticks=chunk_ticks)
 
 
