@@ -69,17 +69,19 @@ def _recursive(ctes: dict[str, str], body: str) -> str:
 _FIVE = "SELECT unnest(range(5))"
 
 
-def _cv_sql() -> str:
+def _cv_sql(body: str) -> str:
     d = len(NAMES)
     p = f"mean[{d + 1}] + list_inner_product(coef, [x[k] - mean[k] FOR k IN range(1, {d + 1})])"
     return _recursive({**_moments_sql(NAMES, LEVELS, _FIVE), **_descent_sql(d, PENALTIES),
                        "p": f"SELECT model, fold, y, {p} AS p FROM d JOIN fit USING (fold)",
                        "e": "SELECT model, fold, avg(abs(p - y)) AS MAE, sqrt(avg((p - y) * (p - y))) AS RMSE, "
-                            "1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)) AS R2, count(*) AS n FROM p GROUP BY model, fold"},
-                      f"SELECT model, fold, {R('MAE')} AS MAE, {R('RMSE')} AS RMSE, {R('R2')} AS R2, n FROM e")
+                            "1 - sum((p - y) * (p - y)) / (var_pop(y) * count(*)) AS R2, count(*) AS n FROM p GROUP BY model, fold"}, body)
 
 
-@register("f16_cv_linear_many", _cv_sql())
+ORACLE["f16_cv_lasso"] = _cv_sql(f"SELECT 'Lasso' AS model, {R('avg(MAE)')} AS MAE, {R('avg(RMSE)')} AS RMSE, {R('avg(R2)')} AS R2 FROM e WHERE model = 'Lasso'")
+
+
+@register("f16_cv_linear_many", _cv_sql(f"SELECT model, fold, {R('MAE')} AS MAE, {R('RMSE')} AS RMSE, {R('R2')} AS R2, n FROM e"))
 def f16_cv_linear_many(spark, sf):
     """F12 + F16: 5-fold metrics of Lasso (alpha 0.01) and least squares on all inputs, from one moment matrix a fold."""
     return ln.cross_validate_linear(qm._model_data(spark, sf), PENALTIES, qm.NUM_MODEL, LEVELS, "lap_id", qm.TARGET)[0]
