@@ -169,3 +169,77 @@ def test_sketch_quantiles_of_a_hot_group_are_within_the_stated_error(spark):
     with redirect_stdout(StringIO()) as said:
         agg.sketch_quantiles(df, "g", "v", probs).explain()
     assert "rangepartitioning" not in said.getvalue()
+
+
+class Here:
+    """An RDD's calls in this process."""
+
+    def __init__(self, parts):
+        self.parts = parts
+
+    def flatMap(self, f):
+        return Here([[y for x in p for y in f(x)] for p in self.parts])
+
+    def map(self, f):
+        return Here([[f(x) for x in p] for p in self.parts])
+
+    def mapPartitions(self, f):
+        return Here([list(f(iter(p))) for p in self.parts])
+
+    def persist(self, *_):
+        return self
+
+    unpersist = checkpoint = persist
+
+    def count(self):
+        return len(self.collect())
+
+    def collect(self):
+        return [x for p in self.parts for x in p]
+
+    def getNumPartitions(self):
+        return len(self.parts)
+
+
+def test_a_finished_tree_is_evaluated_once_a_block(monkeypatch):
+    calls = []
+    whole = bo.Tree.predict
+    monkeypatch.setattr(bo.Tree, "predict", lambda t, bins: calls.append(id(t)) or whole(t, bins))
+    for s in (SETTINGS["depth"], SETTINGS["leaves"]):
+        bo.fit(Here([[_matrix()]]), SIZES, [(s, 0), (s, 1)])
+    assert len(calls) <= 4 * 4
+
+
+def test_groups_of_columns_count_what_single_columns_do(monkeypatch):
+    b, off = _matrix(3000), np.concatenate([[0], np.cumsum(SIZES)])
+    groups = bo.column_groups(SIZES)
+    assert sorted(f for g in groups for f in g) == list(range(5)) and len(groups) == 3 and max(SIZES[g].prod() for g in groups) <= bo.JOINT_CELLS
+    (whole,) = bo.prepared(iter([b]), SIZES, 1)
+    for name, s in SETTINGS.items():
+        m, = bo.fit(Here([[b]]), SIZES, [(s, 1)])
+        used, tree = bo.Growing(s, 5, 0).used, m.trees[0]
+        nodes = [v for v in range(len(tree.left)) if tree.left[v] == v][:3]
+        ask = (0, 0 if s.rate else None, 1, m.start, 2.0**-40, s, 0, tree, used, nodes)
+        got = []
+        for least in (0, 1 << 30):
+            monkeypatch.setattr(bo, "JOINT_ROWS", least)
+            got.append(bo.count_block(whole, [ask], off, groups))
+        assert np.array_equal(*got) and got[0].any(), name
+        w = bo.row_weights(s, 0, b.hashes)
+        for k, v in enumerate(nodes):
+            own = (tree.leaf(b.bins) == v) & (b.fold != 1)
+            f = np.flatnonzero(used)[0]
+            want = np.bincount(b.bins[f][own], None if w is None else w[own], SIZES[f])
+            assert np.array_equal(got[0][k, off[f]:off[f + 1], 1], want), name
+
+
+def test_blocks_are_joined_and_rows_found_leaf_by_leaf():
+    b = _matrix(500)
+    parts = [bo.Block(b.bins[:, p], b.fold[p], b.y[p], b.hashes[p], b.said[:, p]) for p in np.array_split(np.arange(500), 7)]
+    (one,) = bo.prepared(iter(parts), SIZES, 2)
+    assert np.array_equal(one.bins, b.bins) and one.said.shape == (2, 500) and list(bo.prepared(iter([]), SIZES, 2)) == []
+    m, = bo.fit(Here([[b]]), SIZES, [(SETTINGS["leaves"], 0)])
+    for t in m.trees:
+        said = np.zeros(500)
+        t.add_to(said, b.bins)
+        assert np.array_equal(said, t.predict(b.bins))
