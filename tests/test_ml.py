@@ -261,3 +261,30 @@ def test_permutation_in_one_pass_equals_a_join_a_feature(spark):
     each = attr.permutation_importance(Scored(), data, features, "label", "lap_id", bucket_rows=300)
     got, want = ({r.feature: r.value for r in x.collect()} for x in (once, each))
     assert set(got) == set(features) and all(np.isclose(got[c], want[c], atol=1e-9) for c in features) and max(got.values()) > 1
+
+
+def test_queries_limit_the_generated_methods(spark):
+    """HotSpot does not compile methods of more than 8,000 bytes."""
+    from lapengine.plans.registry import load_all
+    from lapengine.session import BASE_CONF, limit_method_size
+    load_all()
+    key = "spark.sql.codegen.hugeMethodLimit"
+    was = spark.conf.get(key)
+    try:
+        for mine, want in (("65535", "8000"), ("5000", "5000")):
+            spark.conf.set(key, mine)
+            QUERIES["f15_folds"](spark, SF_SMALL)
+            assert spark.conf.get(key) == want
+        spark.conf.set(key, "65535")
+        limit_method_size(spark)
+        assert spark.conf.get(key) == BASE_CONF[key]
+    finally:
+        spark.conf.set(key, was)
+
+
+def test_cross_validation_reads_only_the_columns_it_needs(spark):
+    df = spark.createDataFrame([(str(i), float(i), "much text", 2.0 * i) for i in range(50)], "id string, a double, other string, t double")
+    cv = ml.cross_validate(df, "LeastSquares", lambda: ml.LinearRegression(solver="normal", labelCol="label"), ["a"], [], "id", "t", 3, refit=False)
+    assert cv.predictions.columns == ["id", "a", "other", "t", "fold", "y_true", "y_pred"] and cv.predictions.count() == 50
+    plan = cv.fold_metrics._jdf.queryExecution().executedPlan().toString()
+    assert "other" not in plan and "a#" in plan
