@@ -243,3 +243,33 @@ def test_blocks_are_joined_and_rows_found_leaf_by_leaf():
         said = np.zeros(500)
         t.add_to(said, b.bins)
         assert np.array_equal(said, t.predict(b.bins))
+
+
+def test_blocks_of_one_row_group_are_dealt_out_to_all_cores(spark, tmpdir_path):
+    spark.range(8000).selectExpr("id", "int(id % 5) AS fold", "double(id % 97) AS label", "double(hash(id)) AS x").coalesce(1).write.parquet(f"{tmpdir_path}/rows")
+    keys = {"spark.sql.files.maxPartitionBytes": "4096", "spark.sql.files.openCostInBytes": "0", "spark.sql.execution.arrow.maxRecordsPerBatch": "100"}
+    old = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        df = spark.read.parquet(f"{tmpdir_path}/rows")
+        blocks = bo.blocks_of(df, bo.find_bins(df, ["x"], []), "id", f"{tmpdir_path}/bins")
+        rows = [sum(len(b.y) for b in part) for part in blocks.glom().collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    cores = spark.sparkContext.defaultParallelism
+    assert sum(rows) == 8000 and sum(n > 0 for n in rows) >= cores and max(rows) <= 2 * 8000 / cores
+
+
+def test_boosted_counts_of_drawn_rows_are_weighted_sums():
+    b = _matrix(500)
+    b.said = np.vstack([np.arange(500) * 0.25])
+    s, off = bo.TreeSettings(1, 0.3, rows=0.6), np.concatenate([[0], np.cumsum(SIZES)])
+    grown = bo.Growing(s, 5, 0)
+    got = bo.count_block(b, [(0, 0, 1, 2.0, 0.5, s, 0, grown.partial(), grown.used, [0])], off, [[f] for f in range(5)])[0]
+    w = bo.row_weights(s, 0, b.hashes) * (b.fold != 1)
+    r = np.rint((b.y - 2.0 - b.said[0]) / 0.5) * w
+    for f in range(5):
+        assert (got[off[f]:off[f + 1], 0] == np.bincount(b.bins[f], r, SIZES[f])).all()
+        assert (got[off[f]:off[f + 1], 1] == np.bincount(b.bins[f], w, SIZES[f])).all()
