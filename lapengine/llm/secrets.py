@@ -119,15 +119,26 @@ def rule_spans(text: Column, rule: SecretRule, rank: int) -> Column:
     return in_blocks(lengths, F.lit(0).cast("bigint"), passed, lambda x, y: x + y, spans)
 
 
+def passes_gate(low: Column, rule: SecretRule) -> Column:
+    return reduce(Column.__or__, [F.contains(low, F.lit(g)) for g in rule.gate])
+
+
+def may_match(text: Column, rules=RULES) -> Column:
+    """Whether any rule matches ``text``, whatever the length of the match; never null.  Other texts need not be moved to be scanned."""
+    def of(low: Column) -> Column:
+        return reduce(Column.__or__, [(passes_gate(low, r) if r.gate else F.lit(True)) & F.rlike(text, F.lit(r.pattern)) for r in rules])
+    return F.coalesce(let(F.lower(text), of), F.lit(False)) if rules else F.lit(False)
+
+
 def scan(blobs: DataFrame, rules=RULES) -> DataFrame:
-    """``blob, text, missing`` (rule versions to run) -> a ledger batch."""
+    """``blob, text, missing`` (rule versions to run) -> a ledger batch; a null text is one that no rule matches."""
     low = blobs.withColumn("low", F.lower("text"))
     none = F.array().cast(f"array<{SPAN}>")
     parts = []
     for rank, r in enumerate(rules):
         due = F.array_contains("missing", r.version)
         if r.gate:
-            due = due & reduce(Column.__or__, [F.contains("low", F.lit(g)) for g in r.gate])
+            due = due & passes_gate(F.col("low"), r)
         else:
             due = due & F.col("text").rlike(r.pattern)
         parts.append(F.when(due, rule_spans(F.col("text"), r, rank)).otherwise(none))
@@ -150,7 +161,9 @@ def update(versions: DataFrame, ledger: str, rules=RULES, text_col: str = "text"
     known = (read_ledger(spark, ledger).select("blob", F.explode("rules").alias("rule"))
              .groupBy("blob").agg(F.collect_set("rule").alias("seen")))
     text = F.coalesce(F.col(text_col), F.lit(""))
-    blobs = versions.select(blob_of(text).alias("blob"), text.alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
+    # a text that no rule matches stays where it is; its blob alone is entered
+    moved = F.when(may_match(text, rules), text)
+    blobs = versions.select(blob_of(text).alias("blob"), moved.alias("text")).groupBy("blob").agg(F.first("text").alias("text"))
     now = F.array(*[F.lit(r.version) for r in rules])
     missing = F.when(F.col("seen").isNull(), now).otherwise(F.array_except(now, "seen"))
     unseen = blobs.join(known, "blob", "left").withColumn("missing", missing).where(F.size("missing") > 0)
@@ -171,8 +184,11 @@ def findings(versions: DataFrame, ledger: str, rules=RULES, text_col: str = "tex
     # written, so that the join is of two plain inputs and the rows of a blob with many copies can be split
     of_blob = written(of_blob, "findings")
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
-    rows = versions.withColumn("_blob", blob_of(F.col(text_col)))
-    return rows.join(of_blob, "_blob", "left").withColumn("secret_spans", F.coalesce("_found", none)).drop("_blob", "_found")
+    # rows that no rule matches have no spans and stay where they are; only the others are moved, texts and all
+    may = may_match(F.col(text_col), rules)
+    rows = versions.where(may).withColumn("_blob", blob_of(F.col(text_col)))
+    found = rows.join(of_blob, "_blob", "left").withColumn("secret_spans", F.coalesce("_found", none)).drop("_blob", "_found")
+    return found.union(versions.where(~may).withColumn("secret_spans", none))
 
 
 def said(spans: Column) -> Column:

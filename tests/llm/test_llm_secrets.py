@@ -133,3 +133,20 @@ def test_query_is_brute_force(spark):
     assert len(got) == len(docs)
     assert all((r.n_assign, r.n_access, r.n_hex, r.base_sha256) == brute(docs[r.doc_id])[:4] for r in got)
     assert sum(r.n_assign + r.n_access + r.n_hex for r in got) > 0
+
+
+def test_texts_that_no_rule_matches_are_not_moved(spark, monkeypatch):
+    texts = [*TEXTS, *[f"plain words, a token and a secret {i}" for i in range(200)]]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    seen, scan, ledger = [], secrets.scan, shared_dir(spark, "t")
+    monkeypatch.setattr(secrets, "scan", lambda blobs, rules: seen.append(blobs.collect()) or scan(blobs, rules))
+    secrets.update(df, ledger)
+    [blobs] = seen
+    assert len(blobs) == len({t or "" for t in texts}) == secrets.read_ledger(spark, ledger).count()
+    moved = {r.text for r in blobs if r.text is not None}
+    assert moved == {t for t in texts if t and any(re.search(r.pattern, t) for r in secrets.RULES)}
+    found = secrets.findings(df, ledger)
+    assert "Union" in found._jdf.queryExecution().optimizedPlan().toString()        # the other rows are beside the join
+    got = {r.doc_id: r for r in secrets.digest(found).collect()}
+    assert len(got) == len(texts) and all(got[i].base_sha256 == brute(t)[3] for i, t in enumerate(texts))
+    assert found.columns == ["doc_id", "text", "secret_spans"] and found.where("secret_spans IS NULL").count() == 0
