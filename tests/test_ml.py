@@ -288,3 +288,23 @@ def test_cross_validation_reads_only_the_columns_it_needs(spark):
     assert cv.predictions.columns == ["id", "a", "other", "t", "fold", "y_true", "y_pred"] and cv.predictions.count() == 50
     plan = cv.fold_metrics._jdf.queryExecution().executedPlan().toString()
     assert "other" not in plan and "a#" in plan
+
+
+@pytest.mark.parametrize("l1", [0.0, 0.01, 0.3])
+def test_linear_fits_take_moments_and_equal_fits_on_all_rows(spark, monkeypatch, l1):
+    rng = np.random.default_rng(4)
+    rows = [(float(a), float(1e4 + b), 7.0, "xyz"[i % 3] if i % 7 else None, float(3 * a - 2 * b + (i % 3 == 1) + e))
+            for i, (a, b, e) in enumerate(rng.normal(size=(400, 3)))]
+    df = spark.createDataFrame(rows, "a double, b double, still double, c string, label double")
+    seen, fit = [], ml.LinearRegression._fit
+    monkeypatch.setattr(ml.LinearRegression, "_fit", lambda self, data: seen.append(data.count()) or fit(self, data))
+
+    def linear():
+        return ml.LinearRegression(regParam=l1, elasticNetParam=1.0, standardization=False, maxIter=5000, tol=1e-10, labelCol="label")
+    cols = (["a", "b", "still"], ["c"])
+    whole = ml.make_pipeline(*cols, linear(), 400).fit(df).stages[-1]
+    few = ml.fit_pipeline(df, *cols, linear()).stages[-1]
+    assert seen == [400, 2 * 7]                             # three numbers, three levels, the label
+    assert np.allclose(few.coefficients, whole.coefficients, atol=1e-6) and np.isclose(few.intercept, whole.intercept, atol=1e-6)
+    ml.fit_pipeline(df.withColumn("label", F.lit(2.0)), *cols, linear())        # a constant label: all rows
+    assert seen[2:] == [400]
