@@ -273,3 +273,58 @@ def test_boosted_counts_of_drawn_rows_are_weighted_sums():
     for f in range(5):
         assert (got[off[f]:off[f + 1], 0] == np.bincount(b.bins[f], r, SIZES[f])).all()
         assert (got[off[f]:off[f + 1], 1] == np.bincount(b.bins[f], w, SIZES[f])).all()
+
+
+def _table(spark, n=3000, rows_a_batch=250):
+    rng = np.random.default_rng(11)
+    rows = [(i, int(f), float(np.round(3 * a - 40 * (b > 0.6) * (c == "p") + e, 3)), float(a) if i % 17 else None, float(b), c if i % 13 else None)
+            for i, (f, a, b, c, e) in enumerate(zip(rng.integers(0, 3, n), rng.random(n) * 30, rng.random(n), rng.choice(list("pqrs"), n), rng.normal(size=n)))]
+    return spark.createDataFrame(rows, "id long, fold int, label double, a double, b double, c string")
+
+
+def test_rows_of_a_table_are_counted_in_the_jvm_to_the_same_trees(spark, tmpdir_path, monkeypatch):
+    from lapengine.operators import jvm
+    df = _table(spark)
+    binning = bo.find_bins(df, ["a", "b"], ["c"])
+    blocks = bo.blocks_of(df, binning, "id", f"{tmpdir_path}/bins")
+    wanted = [(s, f) for s in SETTINGS.values() for f in (0, 2, -1)]
+    want = bo.fit(blocks.filter(lambda b: True), binning.sizes, wanted)        # no frame: in Python
+
+    def never(*_):
+        raise AssertionError("blocks went to Python")
+    monkeypatch.setattr(bo, "count", never)
+    for many in (64, 0):                                        # sums on the driver, by a tree of tasks
+        monkeypatch.setattr(jvm, "MANY_PARTS", many)
+        monkeypatch.setattr(bo, "REFRESH", 2)
+        got = bo.fit(blocks, binning.sizes, wanted, side_by_side=7)
+        for x, y in zip(got, want, strict=True):
+            assert x.start == pytest.approx(y.start, abs=1e-12) and len(x.trees) == len(y.trees)
+            for p, q in zip(x.trees, y.trees, strict=True):
+                assert all(np.array_equal(getattr(p, c), getattr(q, c)) for c in ("feature", "cut", "left", "right")) and np.allclose(p.value, q.value, atol=1e-9)
+
+
+def test_rows_are_scored_by_their_folds_models(spark, tmpdir_path):
+    df = _table(spark)
+    binning = bo.find_bins(df, ["a", "b"], ["c"])
+    blocks = bo.blocks_of(df, binning, "id", f"{tmpdir_path}/bins")
+    for s in (SETTINGS["forest"], SETTINGS["leaves"]):
+        models = dict(zip((0, 1, 2), bo.fit(blocks, binning.sizes, [(s, f) for f in (0, 1, 2)]), strict=True))
+        got = sorted(map(tuple, bo.scored(blocks.frame, binning.sizes, models).collect()))
+        want = sorted(map(tuple, df.select("fold", "label", bo.predicted(df, binning, models, F.col("fold"))).collect()))
+        assert len(got) == 3000 and np.allclose(got, want, atol=1e-9)
+
+
+def test_shared_nodes_of_a_forest_are_counted_once():
+    from lapengine.operators import jvm
+    b = _matrix(900)
+    s, every = SETTINGS["forest"], np.ones(5, bool)
+    tree = bo.fit(Here([[b]]), SIZES, [(s, 0)])[0].trees[0]
+    leaf = int(np.flatnonzero(tree.left == np.arange(len(tree.left)))[-1])
+    m = jvm.Matrix.__new__(jvm.Matrix)
+    m.folds, m.places = [0, 1], 3
+    agree = [(i, None, i, 0.0, 1.0, s, 0, tree, every, [leaf]) for i in (0, 1)]
+    lists, units = m._trie(agree, [0, 1], {}, 0, {})
+    assert units == 3 and sum(u >= 0 for u in lists[1]) == 1    # one node for both, by fold
+    found, apart = {}, [agree[0], (1, None, 1, 0.0, 1.0, s, 0, bo.Growing(s, 5, 0).partial(), every, [0])]
+    assert m._trie(apart, [0, 1], {}, 0, found)[1] == 3 + 1
+    assert set(found) == {(0, leaf), (1, 0)} and not found[0, leaf][1] and found[1, 0][1]
