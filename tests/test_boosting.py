@@ -328,3 +328,27 @@ def test_shared_nodes_of_a_forest_are_counted_once():
     found, apart = {}, [agree[0], (1, None, 1, 0.0, 1.0, s, 0, bo.Growing(s, 5, 0).partial(), every, [0])]
     assert m._trie(apart, [0, 1], {}, 0, found)[1] == 3 + 1
     assert set(found) == {(0, leaf), (1, 0)} and not found[0, leaf][1] and found[1, 0][1]
+
+
+def test_permuted_rows_are_scored_in_the_jvm(spark, tmpdir_path, monkeypatch):
+    from lapengine.operators import attribution as attr
+    from lapengine.operators import jvm
+    df = _table(spark).where("a IS NOT NULL AND c IS NOT NULL").withColumn("key", F.col("id").cast("string"))
+    binning = bo.find_bins(df, ["a", "b"], ["c"])
+    blocks = bo.blocks_of(df, binning, "key", f"{tmpdir_path}/bins")
+    calls, run = [], jvm.permuted_errors
+    monkeypatch.setattr(jvm, "permuted_errors", lambda rows, *args: calls.append(rows.columns) or run(rows, *args))
+    for s in (SETTINGS["forest"], SETTINGS["leaves"]):
+        model = bo.fit(blocks, binning.sizes, [(s, -1)])[0]
+        got = {r.feature: r.value for r in attr.ensemble_permutation_importance(model, binning, df, ["c", "b"], "label", "key", 300).collect()}
+        rows = df.select("key", "label", "a", "b", "c", attr._bucket("key", df.count(), 300, 42).alias("at"), *[attr._turn("key", i, 42).alias(f"t{i}") for i in (0, 1)]).toPandas()
+        rows = rows.sort_values("key").reset_index(drop=True)
+
+        def errors(x):
+            return np.abs(model.predict(binning.bins([pa.array(x[c]) for c in "abc"])) - x.label).mean()
+        for i, c in enumerate("cb"):
+            other = rows.copy()
+            for _, own in rows.groupby("at"):
+                other.loc[own.index, c] = own.sort_values(f"t{i}")[c].to_numpy()
+            assert np.isclose(got[c], errors(other) - errors(rows), atol=1e-9) and got[c] > 0.01
+    assert calls == [["n", "y", "bins", "turned"]] * 2
